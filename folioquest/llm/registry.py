@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folioquest.llm import bpe, media, packing, simhash
+from folioquest.llm import bpe, media, packing, secrets, simhash
 
-MODULES = (media, bpe, packing, simhash)
+MODULES = (secrets, media, bpe, packing, simhash)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
