@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folioquest.llm import bpe, media, packing, secrets, simhash, toxicity
+from folioquest.llm import bpe, media, packing, quality, secrets, simhash, toxicity
 
-MODULES = (secrets, media, bpe, packing, toxicity, simhash)
+MODULES = (secrets, media, bpe, packing, quality, toxicity, simhash)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
