@@ -150,7 +150,8 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) ->
     n = known.count()
     if n > most:
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 20)) < int((1 << 20) * most / n))
-    return common.keyed_text(docs).join(known, "doc_id").select("text", "toxic")
+    # about ``most`` ids and labels at most, so they can go to the texts
+    return common.keyed_text(docs).join(F.broadcast(known), "doc_id").select("text", "toxic")
 
 
 def count_features(rows: DataFrame) -> DataFrame:
