@@ -13,7 +13,6 @@ Windows never cross rows. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -63,9 +62,11 @@ class Words:
         self.sizes = np.array(sizes, np.int64)
         self.in_text = np.arange(len(self.hash)) - np.repeat(self.start[:-1], self.sizes)
         self.left = np.repeat(self.sizes, self.sizes) - self.in_text
+        self._known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    @functools.cache  # noqa: B019  a block's words live as long as its task
     def _sums(self, base: int) -> tuple[np.ndarray, np.ndarray]:
+        if base in self._known:
+            return self._known[base]
         n = len(self.hash)
         powers, inverse = (np.full(n + 1, b, np.uint64) for b in (base, pow(base, -1, 1 << 64)))
         powers[0] = inverse[0] = 1
@@ -73,6 +74,7 @@ class Words:
         np.multiply.accumulate(inverse, out=inverse)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.hash * powers[:n], out=sums[1:])
+        self._known[base] = sums, inverse
         return sums, inverse
 
     def windows(self, at: np.ndarray, length: int, base: int) -> np.ndarray:
