@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folioquest.llm import bpe, cover, media, packing, quality, secrets, simhash, suffixes, toxicity
+from folioquest.llm import bpe, cover, media, packing, quality, scoring, secrets, simhash, suffixes, toxicity
 
-MODULES = (secrets, media, bpe, packing, quality, toxicity, suffixes, cover, simhash)
+MODULES = (secrets, media, bpe, packing, scoring, quality, toxicity, suffixes, cover, simhash)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

@@ -33,7 +33,8 @@ LEAST = 200
 SEED = 16
 PIECE = 1 << 18
 HOT = 64
-SORTED_BYTES = 2 << 20
+SORTED_BYTES = 512 << 10
+BUCKET_BYTES = 8 << 20
 MIXED, TOO_MANY = 4, 8
 RUNS, STRINGS, VERDICTS, SEGMENTS = range(4)
 _PLACE = np.uint64((1 << 24) - 1)
@@ -176,7 +177,7 @@ def longest_previous(order: np.ndarray, lcp: np.ndarray, least: int) -> tuple[np
     return best, source
 
 
-def repeated_starts(segments: list[bytes], least: int, first: bool) -> list[np.ndarray]:
+def repeated_starts(segments: list[bytes | memoryview], least: int, first: bool) -> list[np.ndarray]:
     """For each segment, marks for its starts: those with an equal string of ``least`` bytes anywhere else in the segments, or with ``first`` only earlier."""
     buf = np.frombuffer(b"".join(segments), np.uint8)
     sizes = np.array([len(s) for s in segments])
@@ -256,8 +257,8 @@ def _segment_verdicts(rows: list[dict], first: bool) -> list[dict]:
         ends = np.cumsum(sizes)
         anchors = np.frombuffer(r["a"], np.uint64)
         rank = np.frombuffer(r["rank"], np.int64)
-        place = np.frombuffer(r["flags"], np.int64)
-        entries += [(int(anchors[i]), int(rank[i]), r["block"], int(place[i]), k, i, r["data"][ends[i] - sizes[i] : ends[i]]) for i in range(len(sizes))]
+        place, data = np.frombuffer(r["flags"], np.int64), memoryview(r["data"])
+        entries += [(int(anchors[i]), int(rank[i]), r["block"], int(place[i]), k, i, data[ends[i] - sizes[i] : ends[i]]) for i in range(len(sizes))]
     entries.sort(key=lambda e: e[:4])
     marks: list[list[np.ndarray]] = [[None] * (len(r["a"]) // 8) for r in rows]
     lo = 0
@@ -275,7 +276,7 @@ def _segment_verdicts(rows: list[dict], first: bool) -> list[dict]:
 def mark(docs: DataFrame, first: bool) -> tuple[DataFrame, DataFrame]:
     """The rows in blocks, and the answers to each block."""
     rows, total = repeats.blocked(docs)
-    buckets = max(1, total // repeats.BUCKET_BYTES)
+    buckets = max(1, total // BUCKET_BYTES)
 
     def send_runs(key, block):
         b = Block(block, first)
@@ -329,7 +330,8 @@ def removed_bytes(b: Block, answers: pa.Table, first: bool) -> np.ndarray:
     if first:
         gone &= ~holder
     hot = (verdict[of] & TOO_MANY) > 0
-    starts = [_positions(b.runs, np.flatnonzero(gone & ~(hot & first)))[0]]
+    gone &= ~(hot & first)
+    starts = [np.zeros(0, np.int64)]
     # single strings of anchors with too many runs
     at, keys, _ = b.strings(verdict, first)
     if len(at):
@@ -345,10 +347,13 @@ def removed_bytes(b: Block, answers: pa.Table, first: bool) -> np.ndarray:
     if len(sent):
         at, _ = _positions(b.runs, b.keys.first[sent])
         starts.append(at[repeats.answered(answers, SEGMENTS, len(at)) > 0])
-    every = np.concatenate(starts)
+    single = np.concatenate(starts)
+    low, end = np.append(b.runs.low[gone], single), np.append(b.runs.high[gone], single) + LEAST
     n = len(b.buf)
-    cover = np.bincount(every, minlength=n + 1) - np.bincount(every + LEAST, minlength=n + 1)[: n + 1]
-    return np.cumsum(cover)[:n] > 0
+    cover = np.zeros(n + 1, np.int32)
+    np.add.at(cover, low, 1)
+    np.add.at(cover, end, -1)
+    return np.cumsum(cover[:n]) > 0
 
 
 def kept_text(data: bytes, gone: np.ndarray) -> str:
