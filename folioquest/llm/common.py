@@ -28,15 +28,26 @@ def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder the cluster names; a folder of our own only where none is named."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints; one of our own only where none is named."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="folioquest-checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def row_map(df: DataFrame, make: Callable[[], Callable[[int | None, str], tuple]], schema: str) -> DataFrame:
     """One output row per (doc_id, text) row. ``make`` builds the row function once per task."""
     from pyspark.sql.types import StructType

@@ -136,10 +136,8 @@ def scan(docs: DataFrame, ledger: str | None = None, path_col: str = "doc_id", t
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """The rows with each stretch of overlapping or touching findings in ``text`` replaced by the mark, and ``n_chars`` counted anew where there is one."""
-    keyed = versions(docs, ()).select(F.col("blob").alias("path"), "blob", "body")
-    found = by_path(keyed.select("path", "blob").distinct(), new_findings(keyed, None, rules), rules).where(F.size("findings") > 0).select(F.col("blob").alias("__blob"), "findings")
-    start, end = F.col("f.start"), F.col("f.end")
-    rows = found.select("__blob", F.explode("findings").alias("f")).select("__blob", start.alias("s"), end.alias("e"))
+    keyed = versions(docs).withColumnRenamed("doc_id", "path")
+    rows = new_findings(keyed, None, rules).select(F.col("blob").alias("__blob"), F.col("start").alias("s"), F.col("end").alias("e"))
     order = Window.partitionBy("__blob").orderBy("s", "e")
     fresh = rows.withColumn("fresh", F.coalesce(F.col("s") > F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)))
     runs = fresh.withColumn("run", F.sum(F.col("fresh").cast("int")).over(order)).groupBy("__blob", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))

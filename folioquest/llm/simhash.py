@@ -255,15 +255,44 @@ def connected(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp and component_id, the smallest doc_id reachable over links of at most three bits."""
-    fps = common.checkpoint(fingerprints(docs, shingle))
+def grouped(fps: DataFrame) -> DataFrame:
+    """Adds ``root``, one fingerprint for each component, and component_id to rows (doc_id, fp, ...), which should be stored."""
     values = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = connected(links(values))
     known = values.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     smallest = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_value = known.join(smallest, "root").select("fp", "component_id")
-    return fps.join(of_value, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(known.join(smallest, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, fp and component_id, the smallest doc_id reachable over links of at most three bits."""
+    return grouped(common.checkpoint(fingerprints(docs, shingle))).select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each component, with all its columns: the least by doc_id (nulls first), then by a hash of the text."""
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+
+    def make():
+        import xxhash
+
+        def row(doc_id, text):
+            fp, h = fingerprint(text, shingle), xxhash.xxh64_intdigest(text.encode(), 42)
+            return doc_id, h - (h >> 63 << 64), fp - (fp >> 63 << 64)
+
+        return row
+
+    made = common.row_map(common.keyed_text(docs), make, "doc_id long, h long, fp long")
+    fps = common.checkpoint(made.groupBy("doc_id", "h", "fp").agg(F.count("*").alias("n")))
+    least = grouped(fps).groupBy("root").agg(F.min(F.struct("doc_id", "h", "n")).alias("k"))
+    kept = common.checkpoint(least.select(F.col("k.doc_id").alias("__id"), F.col("k.h").alias("__h"), F.col("k.n").alias("__n")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_hash == F.col("__h"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.join(kept.hint("shuffle_hash"), same)
+    once = rows.where("__n = 1").select(columns)
+    if kept.where("__n > 1").isEmpty():
+        return once
+    return once.unionByName(rows.where("__n > 1").dropDuplicates(["__id", "__h"]).select(columns))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
