@@ -79,7 +79,8 @@ def _piece_runs(buf: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndar
     size = high - low + LEAST
     tail = low + size - 128
     whole = repeats.mix(repeats.mix(eight[low], eight[tail]), repeats.mix(eight[low + (size - 128) // 2], size.astype(np.uint64)))
-    return low, high, seed[owner[first]], whole
+    # least hashes are small; mixed again they spread over all buckets
+    return low, high, repeats.mix(seed[owner[first]]), whole
 
 
 def find_runs(texts: list[bytes], starts: np.ndarray) -> Runs:
