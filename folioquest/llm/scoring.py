@@ -34,6 +34,7 @@ from folioquest.llm.cover import parts_of
 PROBES = 4
 MOST_BYTES = 1 << 26
 BITS_PER_BYTE = 2.4
+PART = 1 << 20
 PAIR_SHARE, PAIR_SEEN = 0.4, 20
 FOLDS, HELD_OUT = 10, 0
 PRIOR = 0.1
@@ -155,11 +156,11 @@ def filter_slice(keys: np.ndarray, n: np.ndarray, bits: int) -> bytes:
 class Filter:
     """Slices of equal size, one for each range of keys."""
 
-    def __init__(self, bits: np.ndarray, slice_bits: int):
+    def __init__(self, bits: np.ndarray, slice_bits: int, false: float | None = None):
         self.bits, self.slice_bits = bits, slice_bits
         self.buckets = max(1, len(bits) * 8 // slice_bits)
-        self.filled = float(np.bitwise_count(bits).sum()) / max(1, len(bits) * 8)
-        self.false = self.filled**PROBES
+        filled = lambda: sum(int(np.bitwise_count(bits[k : k + PART]).sum()) for k in range(0, len(bits), PART)) / max(1, len(bits) * 8)
+        self.false = filled() ** PROBES if false is None else false
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
         found = np.arange(len(keys))
@@ -209,9 +210,9 @@ def fit(docs: DataFrame, total: int) -> tuple[DataFrame, Filter, dict[str, int]]
     schema = pa.schema([*COUNTS_ARROW, ("total", pa.int64()), ("distinct", pa.int64()), ("once", pa.int64())])
     merged = common.checkpoint(count(docs, buckets).groupBy("bucket").applyInArrow(merge, COUNTS + ", total long, distinct long, once long"))
     sums = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "distinct", "once")]).first().asDict()
-    # MOST_BYTES at most
-    slices = {r["bucket"]: bytes(r["a"]) for r in merged.where(F.col("kind") == PAIRS).select("bucket", "a").collect()}
-    filled = np.frombuffer(b"".join(slices.get(k, bytes(slice_bits // 8)) for k in range(buckets)), np.uint8)
+    filled = np.zeros(buckets * (slice_bits // 8), np.uint8)  # about MOST_BYTES at most
+    for r in merged.where(F.col("kind") == PAIRS).select("bucket", "a").toLocalIterator():
+        filled[r["bucket"] * (slice_bits // 8) :][: slice_bits // 8] = np.frombuffer(r["a"], np.uint8)
     return merged.where(F.col("kind") == WORDS).select("bucket", "a", "n"), Filter(filled, slice_bits), sums
 
 
@@ -220,7 +221,7 @@ def score(docs: DataFrame) -> DataFrame:
     rows, total = repeats.blocked(common.keyed_text(docs))
     words, filter_, sums = fit(common.keyed_text(docs), total)
     buckets = filter_.buckets
-    shared = docs.sparkSession.sparkContext.broadcast((filter_.bits, filter_.slice_bits))
+    shared = docs.sparkSession.sparkContext.broadcast((filter_.bits, filter_.slice_bits, filter_.false))
     n_all, n_distinct = sums["total"], sums["distinct"]
     unknown = min(0.5, (sums["once"] + 1) / (n_all + 2))
 
@@ -228,7 +229,8 @@ def score(docs: DataFrame) -> DataFrame:
         block, texts = repeats.ordered(block)
         vocabulary = Vocabulary()
         places = [vocabulary.add(t) for t in texts]
-        return block, vocabulary, places, repeats.Keys.make(vocabulary.hashes())
+        hashes = vocabulary.hashes()
+        return block, hashes, places, repeats.Keys.make(hashes)
 
     def ask(key, block):
         return repeats.table(list(known(block)[3].rows(key[0].as_py(), buckets)), repeats.ROWS_ARROW)
@@ -245,7 +247,7 @@ def score(docs: DataFrame) -> DataFrame:
         return repeats.table(out, repeats.CODES_ARROW)
 
     def finish(_, block, answers):
-        block, vocabulary, places, keys = known(block)
+        block, hashes, places, keys = known(block)
         codes = b"".join(r["codes"] for r in sorted(answers.to_pylist(), key=lambda r: r["bucket"]))
         c = np.frombuffer(codes, np.int64)[keys.of] if len(keys.a) else np.zeros(0, np.int64)
         base = np.log10((c + PRIOR) / (n_all + PRIOR * (n_distinct + 1)))
@@ -253,16 +255,21 @@ def score(docs: DataFrame) -> DataFrame:
         filter_ = Filter(*shared.value)
         least = filter_.believed(max(1, n_distinct))
         chance = 2.0 ** (least - 1) * filter_.false**least * n_distinct
-        score_of = []
-        hashes = vocabulary.hashes()
-        for p in places:
-            before = np.append(0, p[:-1])
-            level = filter_.level(pair_keys(hashes, p))
+        sizes = np.array([len(p) for p in places])
+        own, scores = np.concatenate(places), []
+        for lo in range(0, len(own), PART):
+            # a text's first token has the end of the one before it, or of none, ahead of it
+            p = own[max(0, lo - 1) : lo + PART]
+            before = np.append(0 if lo == 0 else p[0], p[:-1] if lo == 0 else p[1:-1])
+            p = p if lo == 0 else p[1:]
+            level = filter_.level(repeats.mix(hashes[before], hashes[p]))
             seen = np.where(level >= least, 2.0 ** (level - 1), 0.0)
             after = np.minimum(np.minimum(seen, c[before]), c[p]) / np.maximum(c[before] + chance, 1)
             share = PAIR_SHARE * c[before] / (c[before] + PAIR_SEEN)
-            score_of.append(float(np.log10((1 - share) * alone[p] + share * after).sum()))
-        out = {"doc_id": block.column("doc_id"), "n_tokens": [len(p) for p in places], "n_known": [int((c[p] > 0).sum()) for p in places], "train_tokens": [n_all] * len(places), "base_score": [float(base[p].sum()) for p in places], "score": score_of}
+            scores.append(np.log10((1 - share) * alone[p] + share * after))
+        starts = np.cumsum(sizes) - sizes
+        total_of = lambda x: np.add.reduceat(x, starts)
+        out = {"doc_id": block.column("doc_id"), "n_tokens": sizes, "n_known": total_of((c[own] > 0).astype(np.int64)), "train_tokens": np.full(len(places), n_all), "base_score": total_of(base[own]), "score": total_of(np.concatenate(scores))}
         return pa.table(out, schema=schema)
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
