@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from folioquest.plans import text_queries, tree_queries
 
-from pyspark.sql import DataFrame, SparkSession
+MODULES = (text_queries, tree_queries)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
