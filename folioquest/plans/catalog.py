@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folioquest.plans import text_queries, tree_queries
+from folioquest.plans import text_queries, tree_queries, vector_queries
 
-MODULES = (text_queries, tree_queries)
+MODULES = (text_queries, tree_queries, vector_queries)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
