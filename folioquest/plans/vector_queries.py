@@ -90,9 +90,9 @@ _COS = f"{_DOT.format(a='a', b='b')} / (sqrt({_DOT.format(a='a', b='a')}) * sqrt
 _SETS = "regexp_split_to_array(trim(lower({})), '\\s+')"
 
 
-def _knn(score: str, order: str, k: int) -> str:
+def _knn(score: str, order: str, k: int, rows: str = "embeddings") -> str:
     return f"""
-s AS (SELECT a.vec_id AS q_idx, b.vec_id AS idx, {score} AS score FROM embeddings a, embeddings b WHERE a.vec_id % 20 = 0),
+s AS (SELECT a.vec_id AS q_idx, b.vec_id AS idx, {score} AS score FROM embeddings a, {rows} b WHERE a.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY q_idx ORDER BY score {order}, idx) AS rank FROM s QUALIFY rank <= {k})"""
 
 
@@ -119,7 +119,7 @@ ORACLES = {
     "knn_ip": f"WITH {_knn(_COS, 'DESC', K)} SELECT q_idx, idx, round(score, 4) AS score, rank FROM r",
     "knn_exclude": f"WITH {_knn(_L2.format(a='a', b='b'), 'ASC', K + 1)} SELECT q_idx, idx, round(score, 4) AS score, rank FROM r WHERE q_idx <> idx",
     "knn_diverse": f"""
-WITH RECURSIVE {_knn(_L2.format(a='a', b='b'), 'ASC', 3 * K)},
+WITH RECURSIVE {_knn(_L2.format(a='a', b='b'), 'ASC', 3 * K, '(SELECT e.* FROM embeddings e JOIN documents ON doc_id = vec_id)')},
 c AS (SELECT q_idx, idx, score, rank, list_distinct({_SETS.format('text')}) AS w FROM r JOIN documents ON doc_id = idx),
 f AS (SELECT q_idx, CAST(0 AS BIGINT) AS rank, CAST([] AS BIGINT[]) AS kept, CAST([] AS VARCHAR[][]) AS words FROM c GROUP BY q_idx
   UNION ALL SELECT f.q_idx, c.rank, CASE WHEN ok THEN list_append(kept, c.rank) ELSE kept END, CASE WHEN ok THEN list_append(words, c.w) ELSE words END
