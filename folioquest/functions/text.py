@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as a Java class: Unicode separators and the control characters that count as space.
-SPACE = r"\s\p{Z}\x1c-\x1f\x85"
+#: All characters that Unicode calls white space, and the separators 1C to 1F; as characters, and for a pattern's class.
+SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+SPACE = "".join(f"\\x{{{ord(c):x}}}" for c in SPACES)
 
 
 def as_column(c: Column | str) -> Column:
@@ -14,7 +15,7 @@ def as_column(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(as_column(c), f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(as_column(c), F.lit(SPACES))
 
 
 def words(c: Column | str) -> Column:

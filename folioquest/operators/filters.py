@@ -10,27 +10,46 @@ from pyspark.sql import functions as F
 from folioquest.functions import fixed, text
 
 
-def quality_reasons(content: Column, patterns: tuple[str, ...] | None = None) -> Column:
-    """Why a chunk is rejected, or null: short, patterns, newlines, metadata or citations."""
+TERM_LISTS = ("patterns", "short", "metadata", "citations")
+
+
+def _term_lists(patterns: tuple[str, ...] | None) -> dict[str, tuple[str, ...]]:
     patterns = fixed.CHUNK_PATTERNS if patterns is None else patterns
-    short_terms = tuple(p.strip() for p in patterns if len(p.strip().split()) <= 3)
+    short = tuple(p.strip() for p in patterns if len(p.strip().split()) <= 3)
+    return dict(zip(TERM_LISTS, (patterns, short, fixed.METADATA_TERMS, fixed.CITATION_TERMS), strict=True))
+
+
+def _literals(terms: tuple[str, ...]) -> Column:
+    return F.array(*map(F.lit, terms)).cast("array<string>")
+
+
+def terms_in(content: Column, patterns: tuple[str, ...] | None = None) -> Column:
+    """The terms of each list that a text contains. A document's are looked up once, and then only those in its pieces."""
+    present = lambda lower: F.struct(*[F.filter(_literals(t), lambda x: F.contains(lower, x)).alias(name) for name, t in _term_lists(patterns).items()])
+    return text.let(F.lower(content), present)
+
+
+def quality_reasons(content: Column, patterns: tuple[str, ...] | None = None, terms: Column | None = None) -> Column:
+    """Why a chunk is rejected, or null: short, patterns, newlines, metadata or citations. ``terms``: what ``terms_in`` gave for the text that the chunk is a part of."""
+    lists = {name: terms[name] if terms is not None else _literals(t) for name, t in _term_lists(patterns).items()}
     n = F.length(content)
+    counted = text.let(text.strip(F.lower(content)), lambda lower: F.struct(*[F.size(F.filter(t, lambda x: F.contains(lower, x))).alias(name) for name, t in lists.items()]))
+    none = F.struct(*[F.lit(0).alias(name) for name in TERM_LISTS])
+    any_terms = F.size(F.concat(*lists.values())) > 0
 
-    def reasons(lower: Column) -> Column:
-        metadata = lambda least: text.hits(lower, fixed.METADATA_TERMS) >= least
+    def reasons(hits: Column) -> Column:
         return (
-            F.when(n < 100, "short")
-            .when((text.hits(lower, patterns) >= 2) | (text.hits(lower, short_terms) >= 3), "patterns")
+            F.when((hits["patterns"] >= 2) | (hits["short"] >= 3), "patterns")
             .when(text.count_of(content, "\n") / n > 0.1, "newlines")
-            .when(metadata(F.when(n < 300, 1).otherwise(2)), "metadata")
-            .when((n < 300) & (text.hits(lower, fixed.CITATION_TERMS) >= 2), "citations")
+            .when(hits["metadata"] >= F.when(n < 300, 1).otherwise(2), "metadata")
+            .when((n < 300) & (hits["citations"] >= 2), "citations")
         )
 
-    return text.let(text.strip(F.lower(content)), reasons)
+    return F.when(n < 100, "short").otherwise(text.let(F.when(any_terms, counted).otherwise(none), reasons))
 
 
-def good_chunks(chunks: DataFrame, column: str = "piece", patterns: tuple[str, ...] | None = None) -> DataFrame:
-    return chunks.where(quality_reasons(F.col(column), patterns).isNull())
+def good_chunks(chunks: DataFrame, column: str = "piece", patterns: tuple[str, ...] | None = None, terms: str | None = None) -> DataFrame:
+    return chunks.where(quality_reasons(F.col(column), patterns, F.col(terms) if terms else None).isNull())
 
 
 def _any(patterns: tuple[str, ...]) -> str:

@@ -10,6 +10,7 @@ from folioquest.functions import storage
 
 def dense_ids(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:
     """Numbers from 0 in the given order: rows are dealt by range and stored, each partition is counted, and the sums of the counts before it are its first number. The driver sees one number a partition."""
+    df = storage.checkpoint(df)  # dealing by range reads the rows twice, once for its samples
     dealt = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     rows = storage.checkpoint(dealt.sortWithinPartitions(*order)).withColumn("__at", F.monotonically_increasing_id())
     part = F.shiftright("__at", 33)

@@ -24,7 +24,10 @@ LEVELS = range(1, 7)
 def heading_nodes(docs: DataFrame) -> DataFrame:
     """docs: doc_id, content, source. Text before the first heading is left out; a document of one bare heading gives no node."""
     lines = F.split("content", "\n")
-    marked = F.transform(lines, lambda x, i: F.struct(i.alias("line"), F.regexp_extract(text.strip(x), HEADING, 1).alias("marks"), text.strip(F.regexp_extract(text.strip(x), HEADING, 2)).alias("name")))
+    # few lines begin with a mark; only those meet the pattern
+    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("text")))
+    likely = F.transform(F.filter(numbered, lambda x: x["text"].contains("#") & text.strip(x["text"]).startswith("#")), lambda x: F.struct(x["line"].alias("line"), text.strip(x["text"]).alias("text")))
+    marked = F.transform(likely, lambda x: F.struct(x["line"].alias("line"), F.regexp_extract(x["text"], HEADING, 1).alias("marks"), text.strip(F.regexp_extract(x["text"], HEADING, 2)).alias("name")))
     found = docs.select("doc_id", "source", "content", lines.alias("lines"), F.filter(marked, lambda m: m["marks"] != "").alias("heads"))
     none = found.where(F.size("heads") == 0).select(
         "doc_id", "source", F.lit(0).alias("idx"), F.lit(None).cast("int").alias("parent_idx"), F.array().cast("array<struct<idx:int,name:string>>").alias("ancestors"), text.stem("source").alias("name"), text.strip("content").alias("content"), F.lit(1).alias("depth"), F.lit(1).alias("level")

@@ -35,7 +35,8 @@ def leaf_chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces that pass the quality rules, numbered densely over all documents."""
-    good = filters.good_chunks(splitting.document_chunks(documents(spark, sf_dir)))
+    docs = documents(spark, sf_dir).withColumn("terms", filters.terms_in(F.col("content")))
+    good = filters.good_chunks(splitting.document_chunks(docs), terms="terms")
     numbered = ordering.dense_ids(good.select("doc_id", "start_pos", "end_pos", "piece"), ["doc_id", "start_pos"], "chunk_id")
     return numbered.select("chunk_id", "doc_id", F.col("start_pos").cast("long").alias("start_pos"), F.col("end_pos").cast("long").alias("end_pos"), "piece")
 
