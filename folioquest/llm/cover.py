@@ -183,4 +183,13 @@ def op9_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_difference_cover": op9_difference_cover}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op9_difference_cover": f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{common.WORD}') AS ws FROM documents),
+t AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+k AS (SELECT doc_id, i, ws[i] AS word, CASE WHEN i + {WINDOW - 1} <= len(ws) THEN array_to_string(ws[i:i + {WINDOW - 1}], ' ') END AS win FROM t),
+c AS (SELECT doc_id, i, word, win IS NOT NULL AND count(*) OVER (PARTITION BY win) > 1 AS again FROM k),
+g AS (SELECT doc_id, i, word, max(CAST(again AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone FROM c),
+s AS (SELECT doc_id, count(*) AS n_words, CAST(sum(gone) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM g GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN s USING (doc_id)"""
+}

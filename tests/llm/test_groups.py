@@ -150,3 +150,16 @@ def _characters(data, gone):
 
 def test_schema_is_kept(spark, folder):
     assert spark.createDataFrame([], SCHEMA).columns == common.documents(spark, folder).columns
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_queries_are_registered():
+    import __spark_entry__
+
+    names = __spark_entry__.queries()
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
