@@ -166,14 +166,14 @@ _STEP = pa.struct([("idx", pa.int32()), ("name", pa.string())])
 _NODES_ARROW = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("idx", pa.int32()), ("parent_idx", pa.int32()), ("ancestors", pa.list_(_STEP)), ("name", pa.string()), ("content", pa.string()), ("depth", pa.int32()), ("level", pa.int32()), ("is_leaf", pa.bool_()), ("used_topics", pa.bool_())])
 
 
-def topic_nodes(segments: DataFrame, provider: ChatProvider, retries: int = 3, target: int | None = None) -> DataFrame:
-    """The topic tree of every document as rows in the form of ``tree``; calls are made where a document's segments are gathered."""
+def topic_nodes(segments: DataFrame, provider: ChatProvider, retries: int = 3, share: int | None = None) -> DataFrame:
+    """The topic tree of every document as rows in the form of ``tree``; calls are made where a document's segments are gathered. ``share``: questions a document is to get; half again as many leaves are asked for, three a segment at most, or one a segment without it."""
 
     def run(table):
         rows = table.sort_by("seg_no").to_pylist()
         doc_id, source = rows[0]["doc_id"], rows[0]["source"]
         own = [{"id": r["seg_id"], "title": r["title"], "content": r["content"]} for r in rows]
-        n = target or len(own)
+        n = len(own) if share is None else min(max(share, int(1.5 * share)), 3 * len(own))
         request = Request("topics", TOPIC_SYSTEM, f"About {n} leaves.\n\n{listing(own)}", {"source": source, "segments": own, "target": n}, 0.2, 4096)
 
         def assign(left, names):

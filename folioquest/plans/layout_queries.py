@@ -23,8 +23,8 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table over part of every third page."""
-    pages = table(spark, sf_dir, "pages").where("page_id % 3 = 0")
+    """A table over part of every page."""
+    pages = table(spark, sf_dir, "pages")
     rows = F.array(F.array(F.lit("a "), F.lit(None).cast("string")), F.array(F.col("url"), F.lit("2")))
     return pages.select(F.regexp_extract("url", HOST, 1).alias("doc_id"), F.col("page_id").alias("page"), rows.alias("rows"), F.lit(10.0).alias("x0"), F.lit(15.0).alias("y0"), F.lit(50.0).alias("x1"), F.lit(25.0).alias("y1"))
 
@@ -88,14 +88,14 @@ QUERIES = {
 ORACLES = {
     "font_modes": f"WITH {_SPANS}, {_THRESHOLDS} SELECT doc_id, body, h1, h2, h3 FROM th",
     "header_footer": f"WITH {_BLOCKS}, {_HEADERS.replace('BLOCKS', 'bl')} SELECT doc_id, norm FROM hd",
-    "blocks_outside_tables": f"WITH {_BLOCKS} SELECT doc_id, page, block_no, length(raw) AS chars FROM bl WHERE NOT (page % 3 = 0 AND block_no * 10 < 25 AND 15 < block_no * 10 + 9)",
+    "blocks_outside_tables": f"WITH {_BLOCKS} SELECT doc_id, page, block_no, length(raw) AS chars FROM bl WHERE NOT (block_no * 10 < 25 AND 15 < block_no * 10 + 9)",
     "digital_hosts": f"WITH {_SPANS} SELECT doc_id, bool_or(length(raw) > 50) AS is_digital, count(DISTINCT page) AS num_pages FROM sp GROUP BY doc_id",
     "page_markdown": f"""
 WITH {_SPANS}, {_THRESHOLDS},
-tx AS (SELECT doc_id, page, block_no, raw, size FROM sp WHERE raw <> '' AND NOT (page % 3 = 0 AND block_no * 10 < 25 AND 15 < block_no * 10 + 9)),
+tx AS (SELECT doc_id, page, block_no, raw, size FROM sp WHERE raw <> '' AND NOT (block_no * 10 < 25 AND 15 < block_no * 10 + 9)),
 mk AS (SELECT doc_id, page, block_no, block_no * 10.0 AS y, raw, length(raw) < 200 AND size >= least(h1, h2, h3) AS head,
   CASE WHEN length(raw) >= 200 THEN '' WHEN size >= h1 THEN '# ' WHEN size >= h2 THEN '## ' WHEN size >= h3 THEN '### ' ELSE '' END || raw AS txt FROM tx JOIN th USING (doc_id)
-  UNION ALL SELECT regexp_extract(url, {quote(HOST)}, 1), page_id, -1, 15.0, {_HTML}, false, {_HTML} FROM pages WHERE page_id % 3 = 0),
+  UNION ALL SELECT regexp_extract(url, {quote(HOST)}, 1), page_id, -1, 15.0, {_HTML}, false, {_HTML} FROM pages),
 oc AS (SELECT *, head AND length(raw) <= 2 AS cap, row_number() OVER o AS pos FROM mk WINDOW o AS (PARTITION BY doc_id, page ORDER BY y, block_no)),
 ol AS (SELECT *, pos - coalesce(max(CASE WHEN NOT cap THEN pos END) OVER (PARTITION BY doc_id, page ORDER BY pos), 0) AS r, max(pos) OVER (PARTITION BY doc_id, page) AS most FROM oc),
 og AS (SELECT *, cap AND r % 2 = 1 AND pos < most AS gives FROM ol),
@@ -105,5 +105,5 @@ bk AS (SELECT doc_id, page, block_no, y, CASE WHEN takes THEN before || ltrim(ra
 kp AS (SELECT * FROM bk WHERE (doc_id, {_NORM}) NOT IN (SELECT (doc_id, norm) FROM hd)),
 pg AS (SELECT doc_id, page, string_agg(txt, chr(10) || chr(10) ORDER BY y, block_no) AS t FROM kp GROUP BY doc_id, page)
 SELECT doc_id, count(*) AS n_pages, md5(string_agg(t, chr(10) || chr(10) ORDER BY page)) AS content_md5 FROM pg GROUP BY doc_id""",
-    "table_html": f"SELECT page_id AS page, {_HTML} AS html FROM pages WHERE page_id % 3 = 0",
+    "table_html": f"SELECT page_id AS page, {_HTML} AS html FROM pages",
 }

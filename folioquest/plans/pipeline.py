@@ -23,7 +23,8 @@ def build_tree(docs: DataFrame, config: Config, provider: ChatProvider) -> DataF
     if not config.use_llm_pipeline:
         return tree.build(docs)[0]
     segments = checkpoint(slicing.slice_documents(docs, provider, config.max_retries))
-    return slicing.topic_nodes(segments, provider, config.max_retries).drop("used_topics")
+    share = max(config.num_samples // max(1, docs.count()), 1)
+    return slicing.topic_nodes(segments, provider, config.max_retries, share).drop("used_topics")
 
 
 def leaves_of(nodes: DataFrame) -> DataFrame:
