@@ -60,31 +60,29 @@ def path(ancestors: Column, name: Column) -> Column:
     return F.concat(F.transform(ancestors, lambda a: a["name"]), F.array(name))
 
 
-def qualifying(nodes: DataFrame) -> DataFrame:
-    """Nodes with 50 characters of content and no skipped name at or above them."""
-    names = path(F.col("ancestors"), F.col("name"))
-    return nodes.where(~F.exists(names, filters.skipped_name) & (F.length("content") >= 50))
-
+def _judged(nodes: DataFrame) -> DataFrame:
+    """Adds ``good`` (50 characters of content, no skipped name at or above) and ``has_leaf`` (a good node below).
 
-def _above(nodes: DataFrame) -> DataFrame:
-    """(doc_id, idx) of all nodes that stand above one of these."""
-    return nodes.select("doc_id", F.explode("ancestors.idx").alias("idx")).distinct()
+    Nodes are numbered parents first, so if any good node stands below one, the next good node does. Looking that up
+    is a running value over the document's nodes from the last to the first, without a join.
+    """
+    names = path(F.col("ancestors"), F.col("name"))
+    good = F.coalesce(~F.exists(names, filters.skipped_name) & (F.length("content") >= 50), F.lit(False))
+    after = Window.partitionBy("doc_id").orderBy(F.desc("idx")).rowsBetween(Window.unboundedPreceding, -1)
+    above_next = F.last(F.when(F.col("good"), F.col("ancestors.idx")), ignorenulls=True).over(after)
+    return nodes.withColumn("good", good).withColumn("has_leaf", F.coalesce(F.array_contains(above_next, F.col("idx")), F.lit(False)))
 
 
 def leaves(nodes: DataFrame) -> DataFrame:
-    """What pruning leaves as leaves: qualifying nodes with no qualifying node below them."""
-    good = qualifying(nodes)
-    return good.join(_above(good), ["doc_id", "idx"], "left_anti")
+    """What pruning leaves as leaves: good nodes with no good node below them."""
+    return _judged(nodes).where(F.col("good") & ~F.col("has_leaf")).drop("good", "has_leaf")
 
 
 def survivors(nodes: DataFrame) -> DataFrame:
     """All nodes that pruning keeps; front matter goes from those that aren't leaves."""
-    good = qualifying(nodes)
-    inner = _above(good).withColumn("has_leaf", F.lit(True))
-    own = good.select("doc_id", "idx", F.lit(True).alias("good"))
-    kept = nodes.join(inner, ["doc_id", "idx"], "left").join(own, ["doc_id", "idx"], "left").where("has_leaf or good")
+    kept = _judged(nodes).where(F.col("has_leaf") | F.col("good"))
     clean = F.when(F.col("has_leaf") & filters.is_front_matter(F.col("content")), None).otherwise(F.col("content"))
-    return kept.select("doc_id", "source", "idx", "parent_idx", "ancestors", "name", clean.alias("content"), "depth", "level", F.col("has_leaf").isNull().alias("is_leaf"))
+    return kept.select("doc_id", "source", "idx", "parent_idx", "ancestors", "name", clean.alias("content"), "depth", "level", (~F.col("has_leaf")).alias("is_leaf"))
 
 
 def build(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
