@@ -29,13 +29,13 @@ def heading_nodes(docs: DataFrame) -> DataFrame:
     likely = F.transform(F.filter(numbered, lambda x: x["text"].contains("#") & text.strip(x["text"]).startswith("#")), lambda x: F.struct(x["line"].alias("line"), text.strip(x["text"]).alias("text")))
     marked = F.transform(likely, lambda x: F.struct(x["line"].alias("line"), F.regexp_extract(x["text"], HEADING, 1).alias("marks"), text.strip(F.regexp_extract(x["text"], HEADING, 2)).alias("name")))
     found = docs.select("doc_id", "source", "content", lines.alias("lines"), F.filter(marked, lambda m: m["marks"] != "").alias("heads"))
-    none = found.where(F.size("heads") == 0).select(
-        "doc_id", "source", F.lit(0).alias("idx"), F.lit(None).cast("int").alias("parent_idx"), F.array().cast("array<struct<idx:int,name:string>>").alias("ancestors"), text.stem("source").alias("name"), text.strip("content").alias("content"), F.lit(1).alias("depth"), F.lit(1).alias("level")
-    )
-    each = found.select("doc_id", "source", "lines", "heads", F.posexplode("heads").alias("idx", "h"))
+    # without headings the whole text is one node, as if a heading named like the file stood before it
+    whole = F.array(F.struct(F.lit(-1).alias("line"), F.lit("").alias("marks"), text.stem("source").alias("name")))
+    found = found.withColumn("n_heads", F.size("heads")).withColumn("heads", F.when(F.size("heads") == 0, whole).otherwise(F.col("heads")))
+    each = found.select("doc_id", "source", "lines", "n_heads", "heads", F.posexplode("heads").alias("idx", "h"))
     following = F.coalesce(F.try_element_at("heads", F.col("idx") + 2)["line"], F.size("lines"))
     body = text.strip(F.array_join(F.slice("lines", F.col("h.line") + 2, following - F.col("h.line") - 1), "\n"))
-    flat = each.select("doc_id", "source", "idx", F.length("h.marks").alias("marks"), F.col("h.name").alias("name"), F.when(body != "", body).alias("content"), F.size("heads").alias("n_heads"))
+    flat = each.select("doc_id", "source", "idx", F.length("h.marks").alias("marks"), F.col("h.name").alias("name"), F.when(body != "", body).alias("content"), "n_heads")
     before = Window.partitionBy("doc_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     here = F.struct("idx", "name")
     last = [F.max(F.when(F.col("marks") == k, here)).over(before).alias(f"last{k}") for k in LEVELS]
@@ -53,7 +53,7 @@ def heading_nodes(docs: DataFrame) -> DataFrame:
     nodes = seen.where(~((F.col("n_heads") == 1) & F.col("content").isNull())).withColumn("ancestors", ancestors)
     return nodes.select(
         "doc_id", "source", "idx", F.when(F.col("idx") > 0, F.element_at("ancestors", -1)["idx"]).alias("parent_idx"), "ancestors", "name", "content", F.greatest(F.size("ancestors"), F.lit(1)).alias("depth"), (F.size("ancestors") + 1).alias("level")
-    ).unionByName(none)
+    )
 
 
 def path(ancestors: Column, name: Column) -> Column:
