@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioquest.functions import text
+from folioquest.functions import storage, text
 
 KEY = ["doc_id", "page"]
 
@@ -126,7 +126,8 @@ def without_headers(blocks: DataFrame) -> DataFrame:
 
 
 def markdown(blocks: DataFrame) -> DataFrame:
-    """doc_id, content, pages: blocks and pages joined by blank lines; a page without blocks isn't there."""
+    """doc_id, content, pages: blocks and pages joined by blank lines; a page without blocks isn't there. The blocks are stored first, as they are read three times."""
+    blocks = storage.checkpoint(blocks)
     pages = without_headers(blocks).groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("y", "block_no", "text"))).alias("b"))
     pages = pages.select(*KEY, F.array_join(F.col("b.text"), "\n\n").alias("page_text"))
     docs = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "page_text"))).alias("p"))
