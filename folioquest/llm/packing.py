@@ -159,9 +159,9 @@ def slots(patterns: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "rank", "sequence", "each", "offset"), columns, strict=True))
 
 
-def ranked(parts: DataFrame) -> DataFrame:
+def ranked(parts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Adds ``rank``, counted from 0 for each length."""
-    keyed = parts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(BUCKETS)).cast("int"))
+    keyed = parts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     sums = keyed.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     within = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1
@@ -186,7 +186,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    out = ranked(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
+    # a million pieces a bucket at most, even if all had one length
+    out = ranked(parts, max(BUCKETS, sum(counts.values()) >> 20)).select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
     return out.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
