@@ -57,7 +57,7 @@ def sliced_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = slicing.topic_nodes(slicing.slice_documents(documents(spark, sf_dir), OfflineChat()), OfflineChat())
-    return nodes.select("doc_id", F.col("idx").cast("long").alias("idx"), F.col("parent_idx").cast("long").alias("parent_idx"), "name", F.col("level").cast("long").alias("level"), F.length("content").cast("long").alias("chars"))
+    return nodes.select("doc_id", F.col("idx").cast("long").alias("idx"), F.coalesce("parent_idx", F.lit(-1)).cast("long").alias("parent_idx"), "name", F.col("level").cast("long").alias("level"), F.coalesce(F.length("content"), F.lit(0)).cast("long").alias("chars"))
 
 
 def embedded_questions(spark: SparkSession, sf_dir: str) -> DataFrame:

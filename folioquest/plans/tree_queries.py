@@ -13,7 +13,7 @@ from folioquest.plans.text_queries import _TRIM, quote
 
 def _heads(docs: DataFrame) -> DataFrame:
     nodes = tree.heading_nodes(docs)
-    return nodes.select("doc_id", F.col("idx").cast("long").alias("idx"), F.col("parent_idx").cast("long").alias("parent_idx"), "name", F.coalesce(F.length("content"), F.lit(0)).cast("long").alias("chars"), F.col("depth").cast("long").alias("depth"), F.array_join(F.col("ancestors.name"), " > ").alias("above"))
+    return nodes.select("doc_id", F.col("idx").cast("long").alias("idx"), F.coalesce("parent_idx", F.lit(-1)).cast("long").alias("parent_idx"), "name", F.coalesce(F.length("content"), F.lit(0)).cast("long").alias("chars"), F.col("depth").cast("long").alias("depth"), F.array_join(F.col("ancestors.name"), " > ").alias("above"))
 
 
 def conversation_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +87,7 @@ u AS (SELECT doc_id, idx, unnest(range(1, len(anc) + 1)) AS k, anc FROM n),
 ab AS (SELECT u.doc_id, u.idx, string_agg(m.name, ' > ' ORDER BY k) AS above FROM u JOIN n m ON m.doc_id = u.doc_id AND m.idx = u.anc[k] GROUP BY u.doc_id, u.idx)"""
 
 
-_NODES_OUT = "SELECT n.doc_id, n.idx, CASE WHEN n.idx > 0 THEN n.anc[-1] END AS parent_idx, n.name, coalesce(length(n.content), 0) AS chars, CAST(greatest(len(n.anc), 1) AS BIGINT) AS depth, coalesce(above, '') AS above FROM n LEFT JOIN ab USING (doc_id, idx)"
+_NODES_OUT = "SELECT n.doc_id, n.idx, CASE WHEN n.idx > 0 THEN n.anc[-1] ELSE -1 END AS parent_idx, n.name, coalesce(length(n.content), 0) AS chars, CAST(greatest(len(n.anc), 1) AS BIGINT) AS depth, coalesce(above, '') AS above FROM n LEFT JOIN ab USING (doc_id, idx)"
 _SKIP = quote("(?i)" + "|".join(fixed.SKIP_SECTIONS))
 _GOOD = f"""
 bad AS (SELECT DISTINCT u.doc_id, u.idx FROM (SELECT doc_id, idx, unnest(list_append(anc, idx)) AS a FROM n) u JOIN n m ON m.doc_id = u.doc_id AND m.idx = u.a WHERE regexp_matches(m.name, {_SKIP})),
