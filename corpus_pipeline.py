@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioquest.llm import common, packing, secrets, simhash, suffixes, toxicity
+from folioquest.llm import common, packing, secrets, shingles, suffixes, toxicity
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +19,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by SimHash one document stays, the one with the smallest id."""
-    return simhash.one_of_each(docs)
+    """Of each group linked by similar five-word shingles one document stays, the one with the smallest id."""
+    return shingles.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

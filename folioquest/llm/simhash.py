@@ -271,7 +271,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row of each component, with all its columns: the least by doc_id (nulls first), then by a hash of the text."""
-    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
 
     def make():
         import xxhash
@@ -284,7 +283,13 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     made = common.row_map(common.keyed_text(docs), make, "doc_id long, h long, fp long")
     fps = common.checkpoint(made.groupBy("doc_id", "h", "fp").agg(F.count("*").alias("n")))
-    least = grouped(fps).groupBy("root").agg(F.min(F.struct("doc_id", "h", "n")).alias("k"))
+    return least_of_each(docs, grouped(fps))
+
+
+def least_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of docs that are least by doc_id and h, the text's hash, among those of a root in groups (doc_id, h, n, root)."""
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    least = groups.groupBy("root").agg(F.min(F.struct("doc_id", "h", "n")).alias("k"))
     kept = common.checkpoint(least.select(F.col("k.doc_id").alias("__id"), F.col("k.h").alias("__h"), F.col("k.n").alias("__n")))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_hash == F.col("__h"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
