@@ -28,11 +28,32 @@ def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores added until no column has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def whole_row(df: DataFrame):
+    """All columns as one value, ``row``: none of them can then be taken for one of ours, whatever its name."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+def with_text(rows: DataFrame, docs: DataFrame, text) -> DataFrame:
+    """The columns of docs out of ``row``, with another text, and ``n_chars`` counted anew where there is one."""
+    new = {"text": text, "n_chars": F.length(text).cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return rows.select(*[(new[c] if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; one of our own only where none is named."""
+    """The folder the cluster names for checkpoints; one of our own only where none is named and all run on one machine."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="folioquest-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -104,7 +104,7 @@ def mark(docs: DataFrame, window: int = WINDOW):
     anchor = window - PERIOD + 1
     if anchor < 1:
         raise ValueError(f"a window takes {PERIOD} words at least")
-    buckets = max(1, total // repeats.BUCKET_BYTES)
+    buckets, block_col = repeats.buckets(total), rows.columns[-1]
 
     def send_anchors(key, block):
         words = Words(repeats.ordered(block)[1])
@@ -132,8 +132,8 @@ def mark(docs: DataFrame, window: int = WINDOW):
         out.append({"bucket": number % buckets, "block": number, "kind": CANDIDATES, "a": np.packbits(candidate).tobytes(), "b": None, "flags": None, "rank": None})
         return repeats.table(out, repeats.ROWS_ARROW)
 
-    first = rows.groupBy(repeats.BLOCK).applyInArrow(send_anchors, repeats.ROWS).groupBy("bucket").applyInArrow(count, repeats.CODES)
-    second = rows.groupBy(repeats.BLOCK).cogroup(first.groupBy("block")).applyInArrow(send_windows, repeats.ROWS)
+    first = rows.groupBy(block_col).applyInArrow(send_anchors, repeats.ROWS).groupBy("bucket").applyInArrow(count, repeats.CODES)
+    second = rows.groupBy(block_col).cogroup(first.groupBy("block")).applyInArrow(send_windows, repeats.ROWS)
     return rows, second.groupBy("bucket").applyInArrow(count, repeats.CODES)
 
 
@@ -172,7 +172,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             out.append({"doc_id": doc_id, "n_words": len(own), "removed": [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)], "kept_sha256": digest.hexdigest()})
         return pa.Table.from_pylist(out, schema=schema)
 
-    return rows.groupBy(repeats.BLOCK).cogroup(answers.groupBy("block")).applyInArrow(finish, "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept_sha256 string")
+    return rows.groupBy(rows.columns[-1]).cogroup(answers.groupBy("block")).applyInArrow(finish, "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept_sha256 string")
 
 
 def op9_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,22 @@
-"""What the two exact substring operators share: blocks of rows, and counting keys that blocks hold.
+"""What the exact substring operators and language-model scoring share: blocks of rows, and counting keys that blocks hold.
 
-Rows are dealt to *blocks* of about ``BLOCK_BYTES`` of text by a hash of their id and text. A block is worked on as a
-whole, so its rows in Spark are few: for each range of key values, one row with the block's distinct keys, sorted. A
-*bucket* gathers one range from all blocks, finds the keys that occur twice or more anywhere, and answers each block
-with one code for each of its keys, in the same order. A key that all texts share reaches its bucket once a block.
+Rows are dealt to *blocks* of about ``BLOCK_BYTES`` of text by a hash of their place in the input, so repeats of one row
+spread like any others. A block is worked on as a whole, so its rows in Spark are few: for each range of key values, one
+row with the block's distinct keys, sorted. A *bucket* gathers one range from all blocks, finds the keys that occur twice
+or more anywhere, and answers each block with one code for each of its keys, in the same order. A key that all texts
+share reaches its bucket once a block.
 
-The blocks' texts are shuffled once; later passes over them read the same shuffle files.
+Blocks and buckets both grow with the square root of the text, so that the rows exchanged, blocks times buckets, grow
+in proportion to it; from ``MOST_SIDE`` times their first size on they stay as they are, which bounds a task's memory,
+and rows grow faster until each holds one key.
+
+The blocks' texts are shuffled once; later passes over them read the same shuffle files. Rows must come in the same order
+each time a partition of the input is read, as those of a stored table do.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioquest.llm import common
+
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
-BLOCK = "__block"
+SIDE_BYTES, MOST_SIDE = 1 << 30, 4
 
 REPEATED, FIRST = 1, 2
 
@@ -30,11 +39,32 @@ ROWS_ARROW = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("kind",
 CODES_ARROW = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("codes", pa.binary())])
 
 
-def blocked(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, int]:
-    """The rows with their block's number, and the bytes of text they hold."""
+def side(total: int) -> float:
+    """How many times their first size blocks and buckets have for so many bytes of text."""
+    return min(MOST_SIDE, max(1.0, math.sqrt(total / SIDE_BYTES)))
+
+
+def buckets(total: int, size: int | None = None) -> int:
+    return max(1, int(total // ((size or BUCKET_BYTES) * side(total))))
+
+
+def blocked(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, int]:
+    """The rows with their block's number in a last column, whose name is free, and the bytes of text they hold."""
     total = docs.select(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("n")).first()["n"]
-    n = max(1, -(-total // BLOCK_BYTES))
-    return docs.withColumn(BLOCK, F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int")), total
+    n = max(1, math.ceil(total / (BLOCK_BYTES * side(total))))
+    return docs.withColumn(common.free_name(docs, "block"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")), total
+
+
+def packed(values: np.ndarray, width: int) -> bytes:
+    """The lower ``width`` bytes of 64-bit values, byte by byte: sorted or small values pack well so."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unpacked(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
 
 
 def mix(a: np.ndarray, b: np.ndarray | None = None) -> np.ndarray:

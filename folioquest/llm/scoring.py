@@ -1,49 +1,55 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 The events are those of the base score: every word of the training texts, the end of a text, and one for all words
-that training hasn't seen. Unknown words get what Good and Turing leave them, the share of tokens seen once; known ones
-share the rest by their exact counts. A word after a known one mixes this with its share among the successors of that
-word, by the count of the pair. The end of a text stands before the first word of the next.
+that training hasn't seen. Counts of words and of pairs of neighbours are quantised: a count's *level* is its place
+among ``THRESHOLDS`` (two an octave; 1, 2 and 3 have levels of their own), and an n-gram of level k is entered under the
+levels 1 to k. A level is read back by probing one after the other until one is missing, up to the highest entered.
 
-Pair counts are quantised and held in the filter: a pair seen c times is entered under the levels 1 to
-``1 + floor(log2 c)`` and read back by probing level after level until one is missing. It counts as the least of its
-level. At a false positive rate f a pair reaches level k by chance f^k times, so only levels are believed at which the
-whole vocabulary has at most one such successor, and that one is added to the denominator. All pairs of all training
-texts are entered at any size. The filter follows the text up to ``MOST_BYTES``, which is what may be broadcast; beyond
-that f rises, and rarer pairs give way to the word counts.
+The filter lies in Spark in slices, one for each range of the n-grams' 64-bit hashes. It grows with the text, so it isn't
+broadcast: blocks of texts send the distinct n-grams they hold with their counts in training rows, a slice is filled
+from what all blocks send for its range, and probed for each block on the spot (see ``repeats``). Slices have
+``BITS`` bits an entry and so the same rate of false positives, under 1e-9, at any size of the corpus.
 
-Word counts never reach the driver. They lie in Spark in ranges of the word's 64-bit hash; blocks of texts ask for the
-words they hold and are answered (see ``repeats``).
+Unknown words get what Good and Turing leave them, the share of tokens seen once; known ones share the rest by the
+middles of their levels. A word after a known one mixes this with the pair's share among the successors of the first:
+the least count of the pair's level over the most of the first word's, and what false positives may add to it. Shares of
+successors so add up to one at most. The end of a text stands before the first word of the next.
+
+Base scores take exact counts, which ranges of words hold beside their slice. Of the corpus, the driver sees six sums.
 
 Null and empty texts are one end. Repeated rows all count. Without training rows N and V are 0 and all is unknown.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioquest.llm import common, repeats
 from folioquest.llm.cover import parts_of
 
-PROBES = 4
-MOST_BYTES = 1 << 26
-BITS_PER_BYTE = 2.4
-PART = 1 << 20
+PROBES, BITS = 12, 64
+BUCKET_BYTES = 8 << 20
+#: Bytes of an n-gram's hash that are sent; the range it is sent to adds to them.
+WIDTH = 6
 PAIR_SHARE, PAIR_SEEN = 0.4, 20
 FOLDS, HELD_OUT = 10, 0
 PRIOR = 0.1
-TRAIN_BYTES = 16 << 20
+WORDS, PAIRS, SUMS = range(3)
+
+#: The least count of each level, from level 1.
+THRESHOLDS = np.array([1, *sorted(x for k in range(1, 62) for x in (1 << k, 3 << (k - 1)))], np.int64)
+LEAST = np.append(0, THRESHOLDS)
+MOST = np.append(0, np.append(THRESHOLDS[1:], (1 << 62)) - 1)
+MIDDLE = (LEAST + MOST) / 2
 
-COUNTS = "bucket int, kind int, a binary, n binary"
-COUNTS_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("n", pa.binary())])
-WORDS, PAIRS = 0, 1
-_LOW = np.uint64(0xFFFFFFFF)
+ANSWERS = "block int, bucket int, kind int, levels binary, counts binary, total long, distinct long, once long, mass double, filled long, bits long"
+ANSWERS_ARROW = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("levels", pa.binary()), ("counts", pa.binary()), *[(c, pa.int64()) for c in ("total", "distinct", "once")], ("mass", pa.float64()), ("filled", pa.int64()), ("bits", pa.int64())])
 
 
 class Vocabulary:
@@ -68,219 +74,186 @@ class Vocabulary:
         return np.fromiter(map(xxhash.xxh64_intdigest, self.place), np.uint64, len(self.place))
 
 
-def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sums of their counts."""
-    order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], n[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(n, first) if len(first) else n
-
-
-def pair_keys(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """A key for each token and the one before it; before the first there is an end."""
-    own = hashes[places]
-    before = np.empty_like(own)
-    before[1:], before[:1] = own[:-1], hashes[0]
-    return repeats.mix(before, own)
-
-
-def pair_ranges(keys: np.ndarray, buckets: int) -> Iterator[dict]:
-    """The pairs by range. A key goes by its range and its lower half, byte by byte, which packs well in order."""
-    short = repeats.bucket_of(keys, buckets).astype(np.uint64) << np.uint64(32) | keys & _LOW
-    short, n = summed(short, np.ones(len(short), np.int64))
-    bounds = np.searchsorted(short >> np.uint64(32), np.arange(buckets + 1))
-    for k in np.flatnonzero(np.diff(bounds)):
-        own = slice(bounds[k], bounds[k + 1])
-        yield {"bucket": int(k), "kind": PAIRS, "a": (short[own] & _LOW).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "n": n[own].tobytes()}
+class Tokens:
+    """A block's rows in order, its tokens end to end, and its distinct words and pairs by their hashes, sorted."""
 
+    def __init__(self, rows: pa.Table):
+        self.rows, texts = repeats.ordered(rows)
+        vocabulary = Vocabulary()
+        places = [vocabulary.add(t) for t in texts]
+        self.sizes = np.array([len(p) for p in places], np.int64)
+        hashes, own = vocabulary.hashes(), np.concatenate(places)
+        self.words, of = np.unique(hashes, return_inverse=True)
+        self.word_of = of[own]
+        before = np.append(0, own[:-1])
+        self.before = of[before]
+        self.pairs, self.pair_of = np.unique(repeats.mix(hashes[before], hashes[own]), return_inverse=True)
 
-def unpacked(a: bytes) -> np.ndarray:
-    return np.frombuffer(a, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.uint64)
+    def counts(self, of: np.ndarray, n: int, trains: np.ndarray) -> np.ndarray:
+        return np.bincount(of[np.repeat(trains, self.sizes)], minlength=n)
 
 
-def ranges(keys: np.ndarray, n: np.ndarray, buckets: int, kind: int) -> Iterator[dict]:
+def messages(block: int, kind: int, keys: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[dict]:
+    """A row for each range: the keys in it and their counts."""
     bounds = np.searchsorted(repeats.bucket_of(keys, buckets), np.arange(buckets + 1))
     for k in np.flatnonzero(np.diff(bounds)):
         own = slice(bounds[k], bounds[k + 1])
-        yield {"bucket": int(k), "kind": kind, "a": keys[own].tobytes(), "n": n[own].astype(np.int64).tobytes()}
-
-
-def count(docs: DataFrame, buckets: int) -> DataFrame:
-    """Word and pair counts of the training rows among (doc_id, text), in ranges of their keys, from all tasks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, texts, size = Vocabulary(), [], 0
-
-        def out() -> pa.RecordBatch:
-            places, hashes = np.concatenate(texts), vocabulary.hashes()
-            rows = list(ranges(*summed(hashes, np.bincount(places, minlength=len(hashes))), buckets, WORDS))
-            rows += pair_ranges(pair_keys(hashes, places), buckets)
-            return pa.RecordBatch.from_pylist(rows, schema=COUNTS_ARROW)
-
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                data = text.encode()
-                texts.append(vocabulary.add(data))
-                size += len(data)
-                if size > TRAIN_BYTES:
-                    yield out()
-                    vocabulary, texts, size = Vocabulary(), [], 0
-        if texts:
-            yield out()
-
-    return docs.where(common.crc_column() % FOLDS != HELD_OUT).select("text").mapInArrow(run, COUNTS)
+        yield {"bucket": int(k), "block": block, "kind": kind, "a": repeats.packed(keys[own], WIDTH), "b": repeats.packed(n[own].astype(np.uint64), 8), "flags": None, "rank": None}
 
 
 def levels(n: np.ndarray) -> np.ndarray:
-    return np.frexp(n.astype(np.float64))[1].astype(np.int64)
+    """The level of each count; 0 for none."""
+    return np.searchsorted(THRESHOLDS, n, "right")
 
 
 def probes(keys: np.ndarray, level: np.ndarray | int, bits: int) -> Iterator[np.ndarray]:
     """The bits of an entry, one array for each probe."""
     one = repeats.mix(keys, np.broadcast_to(np.asarray(level, np.uint64), keys.shape))
     two = repeats.mix(one) | np.uint64(1)
-    for k in range(PROBES):
-        yield ((one + np.uint64(k) * two) % np.uint64(bits)).astype(np.int64)
+    for _ in range(PROBES):
+        yield ((one >> np.uint64(32)) * np.uint64(bits) >> np.uint64(32)).astype(np.int64)
+        one = one + two
 
 
-def filter_slice(keys: np.ndarray, n: np.ndarray, bits: int) -> bytes:
-    """The part of the filter that holds one range of keys."""
-    own = np.zeros(bits, bool)
-    level = levels(n)
-    for k in range(1, int(level.max(initial=0)) + 1):
-        for at in probes(keys[level >= k], k, bits):
-            own[at] = True
-    return np.packbits(own, bitorder="little").tobytes()
+@dataclass
+class Slice:
+    """The part of the filter that holds one range of one kind of n-grams. ``top`` is the highest level entered."""
 
+    bits: np.ndarray
+    top: int
 
-class Filter:
-    """Slices of equal size, one for each range of keys."""
-
-    def __init__(self, bits: np.ndarray, slice_bits: int, false: float | None = None):
-        self.bits, self.slice_bits = bits, slice_bits
-        self.buckets = max(1, len(bits) * 8 // slice_bits)
-        filled = lambda: sum(int(np.bitwise_count(bits[k : k + PART]).sum()) for k in range(0, len(bits), PART)) / max(1, len(bits) * 8)
-        self.false = filled() ** PROBES if false is None else false
+    @staticmethod
+    def fill(keys: np.ndarray, n: np.ndarray, bits_an_entry: float = BITS) -> Slice:
+        level = levels(n)
+        own = np.zeros(max(64, int(level.sum() * bits_an_entry)), bool)
+        top = int(level.max(initial=0))
+        for k in range(1, top + 1):
+            for at in probes(keys[level >= k], k, len(own)):
+                own[at] = True
+        return Slice(own, top)
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
         found = np.arange(len(keys))
-        base = repeats.bucket_of(keys, self.buckets) * self.slice_bits
-        for at in probes(keys & _LOW, level, self.slice_bits):
-            at = (base + at)[found]
-            found = found[self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0]
-        out = np.zeros(len(keys), bool)
-        out[found] = True
-        return out
+        for at in probes(keys, level, len(self.bits)):
+            found = found[self.bits[at[found]]]
+            if not len(found):
+                break
+        return found
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which all are there."""
-        out, open_, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
-        while len(open_):
-            open_ = open_[self.has(keys[open_], level)]
-            out[open_] = level
-            level += 1
+        out, open_ = np.zeros(len(keys), np.uint8), np.arange(len(keys))
+        for k in range(1, self.top + 1):
+            open_ = open_[self.has(keys[open_], k)]
+            if not len(open_):
+                break
+            out[open_] = k
         return out
 
-    def believed(self, vocabulary: int) -> int:
-        """The least level that at most one word of the vocabulary reaches by chance."""
-        return 1 if self.false * vocabulary <= 1 or self.false >= 1 else math.ceil(-math.log(vocabulary) / math.log(self.false))
-
-
-def fit(docs: DataFrame, total: int) -> tuple[DataFrame, Filter, dict[str, int]]:
-    """Word counts by range (stored), the filter, and N, V and the number of words seen once."""
-    buckets = max(1, total // repeats.BUCKET_BYTES)
-    bits = min(8 * MOST_BYTES, max(1 << 20, int(total * BITS_PER_BYTE * 8)))
-    slice_bits = -(-bits // buckets // 8) * 8
-
-    def merge(key, rows):
-        found, out = rows.to_pylist(), []
-        bucket = key[0].as_py()
-        for kind, read in ((WORDS, lambda a: np.frombuffer(a, np.uint64)), (PAIRS, unpacked)):
-            own = [r for r in found if r["kind"] == kind]
-            keys = np.concatenate([np.zeros(0, np.uint64), *[read(r["a"]) for r in own]])
-            n = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r["n"], np.int64) for r in own]])
-            keys, n = summed(keys, n)
-            if kind == WORDS:
-                keys, n = keys[n > 0], n[n > 0]
-                out.append({"bucket": bucket, "kind": WORDS, "a": keys.tobytes(), "n": n.tobytes(), "total": int(n.sum()), "distinct": len(n), "once": int((n == 1).sum())})
-            else:
-                out.append({"bucket": bucket, "kind": PAIRS, "a": filter_slice(keys, n, slice_bits), "n": None, "total": 0, "distinct": 0, "once": 0})
-        return pa.Table.from_pylist(out, schema=schema)
-
-    schema = pa.schema([*COUNTS_ARROW, ("total", pa.int64()), ("distinct", pa.int64()), ("once", pa.int64())])
-    merged = common.checkpoint(count(docs, buckets).groupBy("bucket").applyInArrow(merge, COUNTS + ", total long, distinct long, once long"))
-    sums = merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "distinct", "once")]).first().asDict()
-    filled = np.zeros(buckets * (slice_bits // 8), np.uint8)  # about MOST_BYTES at most
-    for r in merged.where(F.col("kind") == PAIRS).select("bucket", "a").toLocalIterator():
-        filled[r["bucket"] * (slice_bits // 8) :][: slice_bits // 8] = np.frombuffer(r["a"], np.uint8)
-    return merged.where(F.col("kind") == WORDS).select("bucket", "a", "n"), Filter(filled, slice_bits), sums
-
-
-def score(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row (doc_id, text)."""
-    rows, total = repeats.blocked(common.keyed_text(docs))
-    words, filter_, sums = fit(common.keyed_text(docs), total)
-    buckets = filter_.buckets
-    shared = docs.sparkSession.sparkContext.broadcast((filter_.bits, filter_.slice_bits, filter_.false))
-    n_all, n_distinct = sums["total"], sums["distinct"]
-    unknown = min(0.5, (sums["once"] + 1) / (n_all + 2))
-
-    def known(block):
-        block, texts = repeats.ordered(block)
-        vocabulary = Vocabulary()
-        places = [vocabulary.add(t) for t in texts]
-        hashes = vocabulary.hashes()
-        return block, hashes, places, repeats.Keys.make(hashes)
-
-    def ask(key, block):
-        return repeats.table(list(known(block)[3].rows(key[0].as_py(), buckets)), repeats.ROWS_ARROW)
-
-    def answer(_, asked, counts):
-        held = [(np.frombuffer(r["a"], np.uint64), np.frombuffer(r["n"], np.int64)) for r in counts.to_pylist()]
-        keys, n = held[0] if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        out = []
-        for r in asked.to_pylist():
-            own = np.frombuffer(r["a"], np.uint64)
-            at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
-            c = np.where(keys[at] == own, n[at], 0) if len(keys) else np.zeros(len(own), np.int64)
-            out.append({"block": r["block"], "bucket": r["bucket"], "kind": 0, "codes": c.tobytes()})
-        return repeats.table(out, repeats.CODES_ARROW)
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their counts, of those that have any."""
+    distinct, of = np.unique(keys, return_inverse=True)
+    total = np.bincount(of, n, len(distinct)).astype(np.int64)
+    return distinct[total > 0], total[total > 0]
+
+
+def answers_of(rows: list[dict]) -> list[dict]:
+    """What the blocks that asked about a range get back: levels, for words counts too; and the range's sums."""
+    out = []
+    for kind in (WORDS, PAIRS):
+        own = [r for r in rows if r["kind"] == kind]
+        if not own:
+            continue
+        asked = [repeats.unpacked(r["a"], WIDTH) for r in own]
+        keys, n = summed(np.concatenate(asked), np.concatenate([repeats.unpacked(r["b"], 8) for r in own]))
+        slice_ = Slice.fill(keys, n)
+        for r, a in zip(own, asked, strict=True):
+            at = np.minimum(np.searchsorted(keys, a), max(0, len(keys) - 1))
+            count = np.where(keys[at] == a, n[at], 0) if len(keys) else np.zeros(len(a), np.int64)
+            out.append({"block": r["block"], "bucket": r["bucket"], "kind": kind, "levels": slice_.level(a).tobytes(), "counts": repeats.packed(count.astype(np.uint64), 8) if kind == WORDS else None})
+        sums = {"total": int(n.sum()), "distinct": len(n), "once": int((n == 1).sum()), "mass": float(MIDDLE[levels(n)].sum())} if kind == WORDS else {"filled": int(slice_.bits.sum()), "bits": len(slice_.bits)}
+        out.append({"block": -1, "bucket": rows[0]["bucket"], "kind": SUMS, **sums})
+    return out
+
+
+@dataclass(frozen=True)
+class Shares:
+    """What scoring knows of the whole corpus: tokens, distinct words, words seen once, the middles of all words' levels, and the rate of false pairs."""
+
+    total: int
+    distinct: int
+    once: int
+    mass: float
+    false: float
+
+    @property
+    def unknown(self) -> float:
+        return min(0.5, (self.once + 1) / (self.total + 2))
+
+    @property
+    def chance(self) -> float:
+        """How many false successors a word may have, each counted once."""
+        return self.false * self.distinct
+
+    def base(self, c: np.ndarray) -> np.ndarray:
+        return np.log10((c + PRIOR) / (self.total + PRIOR * (self.distinct + 1)))
+
+    def score(self, word: np.ndarray, before: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """log10 probabilities from the levels of tokens, of the tokens before them, and of both together."""
+        alone = np.where(word > 0, (1 - self.unknown) * MIDDLE[word] / max(1.0, self.mass), self.unknown)
+        seen = MOST[before]
+        after = np.minimum(LEAST[pair], seen) / np.maximum(seen + self.chance, 1)
+        share = PAIR_SHARE * seen / (seen + PAIR_SEEN)
+        return np.log10((1 - share) * alone + share * after)
+
+
+def in_training() -> Column:
+    return common.crc_column() % FOLDS != HELD_OUT
+
+
+def score(docs: DataFrame, trains: Column | None = None) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row (doc_id, text), by a model of the rows of which ``trains`` holds."""
+    texts = common.keyed_text(docs)
+    rows, total = repeats.blocked(texts.withColumn("trains", F.coalesce(in_training() if trains is None else trains, F.lit(False))))
+    buckets = repeats.buckets(total, BUCKET_BYTES)
+    block_col = rows.columns[-1]
+
+    def send(key, block):
+        t, number = Tokens(block), key[0].as_py()
+        own = np.asarray(t.rows.column("trains"))
+        out = list(messages(number, WORDS, t.words, t.counts(t.word_of, len(t.words), own), buckets))
+        out += messages(number, PAIRS, t.pairs, t.counts(t.pair_of, len(t.pairs), own), buckets)
+        return repeats.table(out, repeats.ROWS_ARROW)
+
+    def answer(_, bucket):
+        return repeats.table(answers_of(bucket.to_pylist()), ANSWERS_ARROW)
+
+    sent = rows.groupBy(block_col).applyInArrow(send, repeats.ROWS)
+    answers = common.checkpoint(sent.groupBy("bucket").applyInArrow(answer, ANSWERS))
+    sums = answers.where(F.col("kind") == SUMS).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "distinct", "once", "mass", "filled", "bits")]).first().asDict()
+    shares = Shares(sums["total"], sums["distinct"], sums["once"], float(sums["mass"]), (sums["filled"] / sums["bits"]) ** PROBES if sums["bits"] else 0.0)
 
     def finish(_, block, answers):
-        block, hashes, places, keys = known(block)
-        codes = b"".join(r["codes"] for r in sorted(answers.to_pylist(), key=lambda r: r["bucket"]))
-        c = np.frombuffer(codes, np.int64)[keys.of] if len(keys.a) else np.zeros(0, np.int64)
-        base = np.log10((c + PRIOR) / (n_all + PRIOR * (n_distinct + 1)))
-        alone = np.where(c > 0, (1 - unknown) * c / max(1, n_all), unknown)
-        filter_ = Filter(*shared.value)
-        least = filter_.believed(max(1, n_distinct))
-        chance = 2.0 ** (least - 1) * filter_.false**least * n_distinct
-        sizes = np.array([len(p) for p in places])
-        own, scores = np.concatenate(places), []
-        for lo in range(0, len(own), PART):
-            # a text's first token has the end of the one before it, or of none, ahead of it
-            p = own[max(0, lo - 1) : lo + PART]
-            before = np.append(0 if lo == 0 else p[0], p[:-1] if lo == 0 else p[1:-1])
-            p = p if lo == 0 else p[1:]
-            level = filter_.level(repeats.mix(hashes[before], hashes[p]))
-            seen = np.where(level >= least, 2.0 ** (level - 1), 0.0)
-            after = np.minimum(np.minimum(seen, c[before]), c[p]) / np.maximum(c[before] + chance, 1)
-            share = PAIR_SHARE * c[before] / (c[before] + PAIR_SEEN)
-            scores.append(np.log10((1 - share) * alone[p] + share * after))
-        starts = np.cumsum(sizes) - sizes
+        t = Tokens(block)
+        found = sorted(answers.to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
+        joined = lambda kind, c: b"".join(r[c] for r in found if r["kind"] == kind)
+        word, pair = (np.frombuffer(joined(k, "levels"), np.uint8) for k in (WORDS, PAIRS))
+        c = np.concatenate([np.zeros(0, np.int64), *[repeats.unpacked(r["counts"], 8).astype(np.int64) for r in found if r["kind"] == WORDS]])
+        starts = np.cumsum(t.sizes) - t.sizes
         total_of = lambda x: np.add.reduceat(x, starts)
-        out = {"doc_id": block.column("doc_id"), "n_tokens": sizes, "n_known": total_of((c[own] > 0).astype(np.int64)), "train_tokens": np.full(len(places), n_all), "base_score": total_of(base[own]), "score": total_of(np.concatenate(scores))}
+        scores = shares.score(word[t.word_of], word[t.before], pair[t.pair_of])
+        out = {"doc_id": t.rows.column("doc_id"), "n_tokens": t.sizes, "n_known": total_of((c > 0).astype(np.int64)[t.word_of]), "train_tokens": np.full(len(t.sizes), shares.total), "base_score": total_of(shares.base(c)[t.word_of]), "score": total_of(scores)}
         return pa.table(out, schema=schema)
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-    asked = rows.groupBy(repeats.BLOCK).applyInArrow(ask, repeats.ROWS)
-    answers = asked.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(answer, repeats.CODES)
-    return rows.groupBy(repeats.BLOCK).cogroup(answers.groupBy("block")).applyInArrow(finish, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    mine = answers.where(F.col("kind") != SUMS).select("block", "bucket", "kind", "levels", "counts")
+    return rows.groupBy(block_col).cogroup(mine.groupBy("block")).applyInArrow(finish, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = score(common.documents(spark, sf_dir))
-    return rows.select("doc_id", (common.crc_column() % FOLDS == HELD_OUT).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return rows.select("doc_id", (~in_training()).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 QUERIES = {"op5_lm_score": op5_lm_score}

@@ -277,7 +277,7 @@ def _segment_verdicts(rows: list[dict], first: bool) -> list[dict]:
 def mark(docs: DataFrame, first: bool) -> tuple[DataFrame, DataFrame]:
     """The rows in blocks, and the answers to each block."""
     rows, total = repeats.blocked(docs)
-    buckets = max(1, total // BUCKET_BYTES)
+    buckets, block_col = repeats.buckets(total, BUCKET_BYTES), rows.columns[-1]
 
     def send_runs(key, block):
         b = Block(block, first)
@@ -313,8 +313,8 @@ def mark(docs: DataFrame, first: bool) -> tuple[DataFrame, DataFrame]:
             out += _segment_verdicts(own, first)
         return repeats.table(out, repeats.CODES_ARROW)
 
-    counted = rows.groupBy(repeats.BLOCK).applyInArrow(send_runs, repeats.ROWS).groupBy("bucket").applyInArrow(count_runs, repeats.CODES)
-    sent = rows.groupBy(repeats.BLOCK).cogroup(counted.groupBy("block")).applyInArrow(send_segments, SEGMENT_ROWS)
+    counted = rows.groupBy(block_col).applyInArrow(send_runs, repeats.ROWS).groupBy("bucket").applyInArrow(count_runs, repeats.CODES)
+    sent = rows.groupBy(block_col).cogroup(counted.groupBy("block")).applyInArrow(send_segments, SEGMENT_ROWS)
     return rows, sent.groupBy("bucket").applyInArrow(decide, repeats.CODES)
 
 
@@ -350,11 +350,10 @@ def removed_bytes(b: Block, answers: pa.Table, first: bool) -> np.ndarray:
         starts.append(at[repeats.answered(answers, SEGMENTS, len(at)) > 0])
     single = np.concatenate(starts)
     low, end = np.append(b.runs.low[gone], single), np.append(b.runs.high[gone], single) + LEAST
-    n = len(b.buf)
-    cover = np.zeros(n + 1, np.int32)
+    cover = np.zeros(len(b.buf) + 1, np.int32)
     np.add.at(cover, low, 1)
     np.add.at(cover, end, -1)
-    return np.cumsum(cover[:n]) > 0
+    return np.cumsum(cover, out=cover)[:-1] > 0
 
 
 def kept_text(data: bytes, gone: np.ndarray) -> str:
@@ -382,27 +381,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             out.append({"doc_id": doc_id, "n_bytes": len(data), "removed": [{"start": int(x), "end": int(y)} for x, y in edges], "kept_sha256": hashlib.sha256(kept).hexdigest()})
         return pa.Table.from_pylist(out, schema=schema)
 
-    return rows.groupBy(repeats.BLOCK).cogroup(answers.groupBy("block")).applyInArrow(finish, "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept_sha256 string")
+    return rows.groupBy(rows.columns[-1]).cogroup(answers.groupBy("block")).applyInArrow(finish, "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept_sha256 string")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows with later copies cut out of ``text``: strings that start earlier, by doc_id, then block and place. ``n_chars``, if there, is counted anew; a text with nothing left is empty."""
-    rows, answers = mark(docs, first=True)
-    kept = docs.schema
-    names = docs.columns
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", common.whole_row(docs.drop("text")))
+    rows, answers = mark(keyed, first=True)
 
     def finish(_, block, answers):
         b = Block(block, True)
         gone = removed_bytes(b, answers, True)
         texts = [t if t is None else kept_text(data, own) if (own := gone[start : start + len(data)]).any() else t for t, data, start in zip(b.rows.column("text").to_pylist(), b.texts, b.starts.tolist(), strict=True)]
-        out = b.rows.select(names)
-        out = out.set_column(names.index("text"), out.schema.field("text"), pa.array(texts, out.schema.field("text").type))
-        if "n_chars" in names:
-            field = out.schema.field("n_chars")
-            out = out.set_column(names.index("n_chars"), field, pa.array([None if t is None else len(t) for t in texts], field.type))
-        return out
-
-    return rows.groupBy(repeats.BLOCK).cogroup(answers.groupBy("block")).applyInArrow(finish, kept)
+        return pa.table([pa.array(texts, pa.string()), b.rows.column("row")], names=["text", "row"])
+
+    out = keyed.select("text", "row").schema
+    return common.with_text(rows.groupBy(rows.columns[-1]).cogroup(answers.groupBy("block")).applyInArrow(finish, out), docs, F.col("text"))
 
 
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

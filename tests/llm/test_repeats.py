@@ -1,6 +1,7 @@
 """Exact repeats in words and bytes against brute force."""
 
 import hashlib
+import math
 import random
 from collections import Counter
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 
 from folioquest.llm import cover, repeats, suffixes
-from tests.llm.conftest import SCHEMA
+from tests.llm.conftest import SCHEMA, extras_unchanged, words
 
 
 def brute_words(rows, window=35):
@@ -113,6 +114,8 @@ class _Frames:
         calls = []
 
         class Frame:
+            columns = ("block",)
+
             def groupBy(self, *_):
                 return self
 
@@ -186,4 +189,43 @@ def test_pieces_of_long_texts(monkeypatch):
 def test_empty_and_clashing(empty, clashing):
     assert cover.remove_repeats(empty).count() == 0 and suffixes.remove_repeats(empty).count() == 0 and suffixes.keep_first(empty).count() == 0
     assert cover.remove_repeats(clashing).count() == 13 and suffixes.remove_repeats(clashing).count() == 13
-    assert suffixes.keep_first(clashing).columns == clashing.columns
+    kept = suffixes.keep_first(clashing)
+    assert kept.columns == clashing.columns and extras_unchanged(kept.collect())
+
+
+@pytest.mark.parametrize("n", [20_000])
+def test_repeats_of_one_row_spread_over_blocks(spark, monkeypatch, n):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 1 << 20)
+    text = "the same words again and again " * 12
+    docs = spark.createDataFrame([(7, text, "x")] * n, "doc_id long, text string, block string").repartition(4)
+    rows, total = repeats.blocked(docs)
+    sizes = [r["count"] for r in rows.groupBy(rows.columns[-1]).count().collect()]
+    assert total == n * len(text) and len(sizes) > 5 and max(sizes) < 2 * n / len(sizes)
+    out = suffixes.keep_first(docs).collect()
+    assert len(out) == n and {(r["doc_id"], r["block"]) for r in out} == {(7, "x")} and sum(len(r["text"]) for r in out) < 2 * len(text)
+    assert cover.remove_repeats(docs).where("n_words <> removed[0].end - removed[0].start").isEmpty()
+
+
+def test_blocks_and_buckets_grow_alike():
+    """The rows exchanged are blocks times buckets; they grow in proportion to the text."""
+    exchanged = lambda total: math.ceil(total / (repeats.BLOCK_BYTES * repeats.side(total))) * repeats.buckets(total)
+    for total in (1 << 30, 4 << 30):
+        assert exchanged(4 * total) == pytest.approx(4 * exchanged(total), rel=0.02)
+
+
+def test_bytes_are_packed_and_unpacked():
+    values = np.random.default_rng(1).integers(0, 1 << 48, 1000, dtype=np.uint64)
+    assert (repeats.unpacked(repeats.packed(values, 6), 6) == values).all() and len(repeats.packed(values, 6)) == 6000
+    assert len(repeats.unpacked(repeats.packed(values[:0], 6), 6)) == 0
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(8)
+    long = words(rng, 120_000, 50_000)
+    rows = [(1, long, "en", "s", 0), (2, long[300_000:500_000], "en", "s", 0), (3, "short", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: r["removed"] for r in suffixes.remove_repeats(docs).collect()}
+    assert [tuple(x) for x in got[1]] == [(300_000, 500_000)] and [tuple(x) for x in got[2]] == [(0, 200_000)] and not got[3]
+    got = {r["doc_id"]: sum(x["end"] - x["start"] for x in r["removed"]) for r in cover.remove_repeats(docs).collect()}
+    inside = len(rows[1][1].split())
+    assert inside - 2 <= got[1] <= inside and inside - 2 <= got[2] <= inside and got[3] == 0
