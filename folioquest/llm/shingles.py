@@ -1,16 +1,14 @@
-"""Near copies by word shingles: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Candidates and checks for near copies by word shingles: sets of five-word shingles with a Jaccard similarity of 0.8 or more.
 
-A 64-bit SimHash can't find these: at 0.8 two fingerprints differ in about ten bits, give or take three, and with so
-wide a radius no part of the bits is left to look candidates up by. So candidates come from prefixes, which miss none:
-in any one order of all shingles, the first ``n - ceil(0.8 n) + 1`` of two sets that are similar enough have a member in
-common. The order puts rare shingles first, by counts in a table of fixed size; collisions there cost time only.
-
-Sets that share a prefix member meet in its bucket, and every link is checked on the whole sets. Where all
-pairs would be many more than the members, a few rounds compare each member with one of its bucket, which joins large
-groups without looking at all their pairs; in the end all pairs are compared that still lie in different components. Components come from star contraction (see ``simhash``).
+Candidates come from prefixes, which miss none: in any one order of all shingles, the first ``n - ceil(0.8 n) + 1`` of two
+sets that are similar enough have a member in common. The order puts rare shingles first, by counts in a table of fixed
+size; collisions there cost time only. Sets that share a prefix member meet in its bucket. There their 128-bit
+fingerprints are compared by bit planes: of two similar sets a bit differs with a chance of 0.19 at most (4 and 5
+shingles; 0.15 for large sets), so more than ``RADIUS`` of 128 differ with a chance under 5e-9; of unrelated ones 64
+differ, give or take six. What is left is checked on the whole sets.
 
 Words are those of ``simhash``. A text of less than five words is one shingle; null, empty and blank texts have none and
-are copies of each other. Repeated rows are one set. An empty table gives an empty result.
+are copies of each other. Repeated rows are one set.
 """
 
 from __future__ import annotations
@@ -22,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioquest.llm import common, repeats, simhash
+from folioquest.llm import common, planes, repeats
 
 SHINGLE = 5
 #: Similarity as a fraction.
 SAME, OF = 4, 5
 COUNTER_BITS, COUNTER_RANGES = 20, 64
-ROUNDS, FEW, LARGE = 3, 4, 64
+LARGE, CHOSEN = 64, 3
+RADIUS = 54
+SLICE = 1 << 16
 MARK_BITS = 22
 MOST_WORDS = 1 << 20
 BATCH = 1 << 18
@@ -100,8 +100,19 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return OF * both >= SAME * (len(a) + len(b) - both)
 
 
-def _described(docs: DataFrame) -> DataFrame:
-    """doc_id, h (hash of the text), s (hash of the set), size and prefix of every row."""
+def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
+    """The set's 128-bit SimHash, as two signed numbers."""
+    ones = np.zeros(128, np.int64)
+    for lo in range(0, len(shingles), SLICE):
+        part = shingles[lo : lo + SLICE]
+        both = np.stack([repeats.mix(part), repeats.mix(part ^ np.uint64(0x9E3779B97F4A7C15))], axis=1)
+        ones += np.unpackbits(both.view(np.uint8).reshape(len(part), 16), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    a, b = np.packbits(2 * ones > len(shingles), bitorder="little").view("<i8").tolist()
+    return a, b
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """doc_id, h (hash of the text), s (hash of the set), size, prefix and fingerprint (f0, f1) of every row."""
     import xxhash
 
     counts = docs.sparkSession.sparkContext.broadcast(rarity(docs))
@@ -112,11 +123,11 @@ def _described(docs: DataFrame) -> DataFrame:
         def row(doc_id, text):
             own, h = shingler(text), xxhash.xxh64_intdigest(text.encode(), 42)
             s = xxhash.xxh64_intdigest(own.tobytes(), 42)
-            return doc_id, h - (h >> 63 << 64), s - (s >> 63 << 64), len(own), prefix(own, counts.value).tobytes()
+            return doc_id, h - (h >> 63 << 64), s - (s >> 63 << 64), len(own), prefix(own, counts.value).tobytes(), *fingerprint(own)
 
         return row
 
-    return common.row_map(docs, make, "doc_id long, h long, s long, size long, prefix binary")
+    return common.row_map(docs, make, "doc_id long, h long, s long, size long, prefix binary, f0 long, f1 long")
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +163,7 @@ def _can_match(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _open_match(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The same for rows (token, s, size, place, root) of different components."""
+    """The same for rows (token, s, size, place, root, f0, f1) of different components."""
     return (a[:, 4] != b[:, 4]) & _can_match(a, b)
 
 
@@ -170,22 +181,22 @@ def _with_match(rows: np.ndarray) -> np.ndarray:
 
 
 def _pairs(rows: np.ndarray, salt: int | None) -> Iterator[np.ndarray]:
-    """Pairs of s from whole buckets: each member with one of its bucket, or all with all if there is no salt. With salt 0 buckets choose alike."""
-    if salt is not None:
-        own = repeats.mix(rows[:, 0].copy().view(np.uint64), np.full(len(rows), salt, np.uint64)) if salt else np.zeros(len(rows), np.uint64)
-        rank = repeats.mix(rows[:, 1].copy().view(np.uint64), own)
-        rows = rows[np.lexsort((rank, rows[:, 0]))]
-    first = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
-    sizes = np.diff(np.append(first, len(rows)))
-    if salt is not None:
-        a = rows[np.repeat(first, sizes)]
-        yield np.stack([a[:, 1], rows[:, 1]], axis=1)[_open_match(a, rows)]
+    """Pairs of s from whole buckets: all with all if there is no salt, else every member with the ``CHOSEN`` first of its bucket by a salted hash, so that buckets with the same members choose alike."""
+    if salt is None:
+        group = np.cumsum(np.append(True, rows[1:, 0] != rows[:-1, 0]))
+        for i, j in planes.near_pairs(group, np.ascontiguousarray(rows[:, 5:7]).view(np.uint64), RADIUS):
+            yield np.stack([rows[i, 1], rows[j, 1]], axis=1)[_open_match(rows[i], rows[j])]
         return
-    size_of = np.repeat(sizes, sizes)
-    place = np.arange(len(rows)) - np.repeat(first, sizes)
-    for step in range(1, int(sizes.max())):
-        at = np.flatnonzero(size_of - place > step)
-        yield np.stack([rows[at, 1], rows[at + step, 1]], axis=1)[_open_match(rows[at], rows[at + step])]
+    rank = repeats.mix(rows[:, 1].copy().view(np.uint64), np.full(len(rows), salt, np.uint64))
+    dealt = rows[np.lexsort((rank, rows[:, 0]))]
+    first = np.flatnonzero(np.append(True, dealt[1:, 0] != dealt[:-1, 0]))
+    sizes = np.diff(np.append(first, len(dealt)))
+    place = np.arange(len(dealt)) - np.repeat(first, sizes)
+    for k in range(CHOSEN):
+        at = np.flatnonzero(place > k)
+        a, b = dealt[np.repeat(first, sizes)[at] + k], dealt[at]
+        near = np.bitwise_count((a[:, 5:7] ^ b[:, 5:7]).view(np.uint64)).sum(axis=1) <= RADIUS
+        yield np.stack([a[:, 1], b[:, 1]], axis=1)[near & _open_match(a, b)]
 
 
 def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
@@ -194,7 +205,7 @@ def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
 
 
 def candidates(shared: DataFrame, salt: int | None) -> DataFrame:
-    """Distinct pairs (a, b) from the buckets of (token, s, size, place, root)."""
+    """Distinct pairs (a, b) from the buckets of (token, s, size, place, root, f0, f1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_bucket(batches):
@@ -210,11 +221,11 @@ def candidates(shared: DataFrame, salt: int | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in (0, 1)], names=["a", "b"])
 
     n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = shared.select("token", "s", "size", "place", "root").repartition(n, "token").sortWithinPartitions("token")
+    rows = shared.select("token", "s", "size", "place", "root", "f0", "f1").repartition(n, "token").sortWithinPartitions("token")
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Input: a, b and both sets. Output: the pairs that are similar enough."""
     for batch in batches:
         sets = zip(*(batch.column(c).to_pylist() for c in ("set_a", "set_b")), strict=True)
@@ -241,29 +252,6 @@ def open_pairs(rows: DataFrame) -> int:
     return int(each.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.lit(0))).first()[0])
 
 
-def linked(shared: DataFrame, sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """node, root of the components of two sets or more, from shared members and the sets (s, set)."""
-    links = tried = roots = salt = None
-    few = FEW * shared.count()
-    for k in range(rounds + 1):
-        rows = shared.withColumn("root", F.col("s"))
-        if roots is not None:
-            rows = shared.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
-        salt = k if k < rounds and open_pairs(rows) > few else None
-        pairs = candidates(rows, salt)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = common.checkpoint(pairs)
-        whole = pairs.join(sets.select(F.col("s").alias("b"), F.col("set").alias("set_b")), "b").join(sets.select(F.col("s").alias("a"), F.col("set").alias("set_a")), "a")
-        new = whole.select("a", "b", "set_a", "set_b").mapInArrow(_check, "a long, b long")
-        links = common.checkpoint(new if links is None else links.unionByName(new))
-        roots = common.checkpoint(simhash.connected(links))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if salt is None:
-            break
-    return roots
-
-
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """s and set for wanted (s, doc_id, h, n), where n rows of docs have that id and text. A bitmap of fixed size spares most other texts."""
     marks = np.zeros(1 << MARK_BITS, bool)
@@ -291,17 +279,3 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     if wanted.where("n > 1").isEmpty():
         return found.select("s", "set")
     return found.select("s", "set").dropDuplicates(["s"])
-
-
-def one_of_each(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """One row of each component, with all its columns: the least by doc_id (nulls first), then by a hash of the text."""
-    texts = common.keyed_text(docs)
-    made = common.checkpoint(_described(texts))
-    rows = common.checkpoint(made.groupBy("doc_id", "h", "s").agg(F.count("*").alias("n")))
-    values = made.groupBy("s").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    shared = common.checkpoint(shared_members(values))
-    wanted = rows.join(shared.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min(F.struct("doc_id", "h", "n")).alias("k"))
-    sets = common.checkpoint(sets_of(texts, common.checkpoint(wanted.select("s", "k.*"))))
-    roots = linked(shared, sets, rounds)
-    grouped = rows.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
-    return simhash.least_of_each(docs, grouped)

@@ -1,14 +1,16 @@
 """SimHash near-duplicates with bit-sliced comparison.
 
-Fingerprints are made once for each document and compared once for each distinct value. Two that differ in at most
-three bits agree wholly on at least one of four 16-bit quarters, so only members of such a bucket meet. A bucket of
-more than ``HOT`` members is split by the same argument over the bits it hasn't used yet, twice if need be; no member
-and no link is dropped.
-
-Inside a task the sorted fingerprints lie as 64 vertical bit planes. Comparing every member with the one ``s`` places
-on is one pass over the planes: carry-save counters hold 64 distances in each word, saturate above the radius, and
-words in which all have done so are abandoned. Links leave the task as a spanning forest, never as all pairs.
-Components come from alternating large-star and small-star rounds on the cluster.
+Fingerprints are made once for each document and compared once for each distinct value, by bit planes (see ``planes``).
+Two that differ in at most three bits agree wholly on at least one of four 16-bit quarters, so only members of such a
+bucket meet. A bucket of more than ``HOT`` members is split by the same argument over the bits it hasn't used yet, as
+often as it takes: with twelve bits or fewer left no bucket has more. No member and no link is dropped, and links leave
+a task as a spanning forest, never as all pairs. Components come from alternating large-star and small-star rounds on the
+cluster.
+
+``one_of_each`` works on five-word shingles and a similarity of 0.8 (see ``shingles``): there two 64-bit fingerprints
+differ in about ten bits, give or take three, and no part of the bits would be left to look candidates up by. So
+candidates share a rare shingle, are compared by the bit planes of 128-bit fingerprints, and what is within that radius
+is checked on the whole sets.
 
 Null and empty texts, and texts of white space only, have fingerprint zero and link like any other. Repeated rows stay
 rows of their own; a null id takes part but can't name a component. An empty table gives an empty result.
@@ -23,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioquest.llm import common
+from folioquest.llm import common, planes, shingles
 
 RADIUS = 3
 SHINGLE = 3
 HOT = 4096
+LAST_BITS = 12
+ROUNDS, FEW = 3, 4
 BATCH = 1 << 18
 SLICE = 1 << 16
 
@@ -85,90 +89,6 @@ def _signed(x: int) -> int:
     return x - (x >> 63 << 64)
 
 
-def _planes(values: np.ndarray) -> np.ndarray:
-    """64 rows of bits, member i at bit i % 64 of word i // 64, with two words of zeros at the end."""
-    words = -(-len(values) // 64) + 2
-    out = np.zeros((64, words), np.uint64)
-    for b in range(64):
-        packed = np.packbits((values >> np.uint64(b) & np.uint64(1)).astype(np.uint8), bitorder="little")
-        out[b].view(np.uint8)[: len(packed)] = packed
-    return out
-
-
-def _ahead(plane: np.ndarray, step: int) -> np.ndarray:
-    """The bits ``step`` places on."""
-    skip, r = divmod(step, 64)
-    plane = plane[skip:]
-    if not r:
-        return plane[:-1]
-    return plane[:-1] >> np.uint64(r) | plane[1:] << np.uint64(64 - r)
-
-
-def within_radius(planes: np.ndarray, step: int, valid: np.ndarray) -> np.ndarray:
-    """Members whose distance to the one ``step`` places on is at most three, where ``valid`` has their bit."""
-    words = len(valid)
-    ahead = np.stack([_ahead(p, step)[:words] for p in planes]) if words else planes[:, :0]
-    live = np.flatnonzero(valid)
-    ones, twos, over = (np.zeros(len(live), np.uint64) for _ in range(3))
-    for b in range(64):
-        x = planes[b, live] ^ ahead[b, live]
-        carry = ones & x
-        ones ^= x
-        over |= twos & carry
-        twos ^= carry
-        if b % 8 == 7:
-            keep = (valid[live] & ~over) != 0
-            if not keep.all():
-                live, ones, twos, over = live[keep], ones[keep], twos[keep], over[keep]
-            if not len(live):
-                break
-    near = np.zeros(words, np.uint64)
-    near[live] = valid[live] & ~over
-    return np.flatnonzero(np.unpackbits(near.view(np.uint8), bitorder="little"))
-
-
-def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest reachable index for each of n nodes."""
-    label = np.arange(n)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        np.minimum.at(label, label[a], low)
-        np.minimum.at(label, label[b], low)
-        while not np.array_equal(up := label[label], label):
-            label = up
-        open_ = label[a] != label[b]
-        a, b = a[open_], b[open_]
-    return label
-
-
-def forest(group: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Index of a linked member of the same group for each member, or its own. ``group`` is sorted."""
-    n = len(values)
-    label = np.arange(n)
-    at = np.arange(n)
-    sizes = np.diff(np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), n)) if n else np.zeros(0, int)
-    size_of = np.repeat(sizes, sizes)
-    planes = _planes(values)
-    pending: list[tuple[np.ndarray, np.ndarray]] = []
-    for step in range(1, int(sizes.max(initial=1))):
-        if (enough := size_of[at] > step).sum() < 0.7 * len(at):
-            at = at[enough]
-            planes = _planes(values[at])
-        own = group[at]
-        valid = np.zeros(planes.shape[1] - 2, np.uint64)
-        same = np.packbits(own[:-step] == own[step:], bitorder="little")
-        valid.view(np.uint8)[: len(same)] = same
-        valid = valid[: max(0, planes.shape[1] - 1 - step // 64)]
-        near = within_radius(planes, step, valid)
-        pending.append((at[near], at[near + step]))
-        if sum(len(x) for x, _ in pending) > 4 * n:
-            label = components(n, *(np.concatenate([*x, y]) for x, y in zip(zip(*pending, strict=True), (np.arange(n), label), strict=True)))
-            pending = []
-    if pending:
-        label = components(n, *(np.concatenate([*x, y]) for x, y in zip(zip(*pending, strict=True), (np.arange(n), label), strict=True)))
-    return label
-
-
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Input: mask, key, fp, sorted by mask and key. Output: links a, b."""
     held: list[np.ndarray] = []
@@ -176,7 +96,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def links(rows: np.ndarray) -> pa.RecordBatch:
         new = np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1))
         values = rows[:, 2].astype(np.int64)
-        label = forest(np.cumsum(new), values.view(np.uint64))
+        label = planes.forest(np.cumsum(new), values.view(np.uint64), RADIUS)
         own = np.flatnonzero(label != np.arange(len(label)))
         return pa.RecordBatch.from_arrays([pa.array(values[own]), pa.array(values[label[own]])], names=["a", "b"])
 
@@ -209,25 +129,24 @@ def links(values: DataFrame, hot: int = HOT) -> DataFrame:
         opened = rows.select("mask", "fp", F.posexplode(above[F.col("mask")]).alias("k", "m"))
         return opened.select((F.col("mask") * fan + F.col("k")).alias("mask"), F.col("fp").bitwiseAND(F.col("m")).alias("key"), "fp")
 
-    found, rows = None, values.select("fp")
-    for level in (1, 2, 3):
-        rows = bucketed(rows, masks(level))
+    found, rows, level, done = None, values.select("fp"), 0, False
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    while not done:
+        level += 1
+        chains = masks(level)
+        rows = bucketed(rows, chains)
         cold = rows
-        if level < 3:
-            large = rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("mask", "key")
-            large = common.checkpoint(large)
-            if done := large.isEmpty():
-                pass
+        # as many values as a bucket can have at all
+        done = 1 << 64 - min(c[-1].bit_count() for c in chains) <= max(hot, 1 << LAST_BITS)
+        if not done:
+            large = common.checkpoint(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("mask", "key"))
+            if large.isEmpty():
+                done = True
             else:
                 cold = rows.join(large, ["mask", "key"], "left_anti")
                 rows = rows.join(large, ["mask", "key"], "left_semi")
-        else:
-            done = True
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         made = cold.select("mask", "key", "fp").repartition(n, "mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(_compare, "a long, b long")
         found = made if found is None else found.unionByName(made)
-        if done:
-            break
     return found
 
 
@@ -269,35 +188,57 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return grouped(common.checkpoint(fingerprints(docs, shingle))).select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One row of each component, with all its columns: the least by doc_id (nulls first), then by a hash of the text."""
-
-    def make():
-        import xxhash
-
-        def row(doc_id, text):
-            fp, h = fingerprint(text, shingle), xxhash.xxh64_intdigest(text.encode(), 42)
-            return doc_id, h - (h >> 63 << 64), fp - (fp >> 63 << 64)
+def linked(shared: DataFrame, sets: DataFrame, rounds: int = ROUNDS, few: int = FEW) -> DataFrame:
+    """node, root of the components of two sets or more, from shared members and the sets (s, set).
+
+    First each member is compared with ``shingles.CHOSEN`` of its bucket, which joins large groups without looking at all
+    their pairs; again with others while more than ``few`` pairs a member lie in different components, but ``rounds``
+    times at most. Then all pairs are compared that still do.
+    """
+    n, links, tried, roots = shared.count(), None, None, None
+    for k in range(rounds + 1):
+        rows = shared.withColumn("root", F.col("s"))
+        if roots is not None:
+            rows = shared.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+        last = k == rounds or k > 0 and shingles.open_pairs(rows) <= few * n
+        pairs = shingles.candidates(rows, None if last else k)
+        pairs = common.checkpoint(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        whole = pairs.join(sets.select(F.col("s").alias("b"), F.col("set").alias("set_b")), "b").join(sets.select(F.col("s").alias("a"), F.col("set").alias("set_a")), "a")
+        new = common.checkpoint(whole.select("a", "b", "set_a", "set_b").mapInArrow(shingles.check, "a long, b long"))
+        links = new if links is None else links.unionByName(new)
+        if roots is None or not new.isEmpty():
+            roots = common.checkpoint(connected(links))
+        if last:
+            break
+    return roots
 
-        return row
 
-    made = common.row_map(common.keyed_text(docs), make, "doc_id long, h long, fp long")
-    fps = common.checkpoint(made.groupBy("doc_id", "h", "fp").agg(F.count("*").alias("n")))
-    return least_of_each(docs, grouped(fps))
+def one_of_each(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """One row of each group of texts linked by similar sets of five-word shingles, with all its columns: the least by doc_id (nulls first), then by a hash of the text."""
+    texts = common.keyed_text(docs)
+    made = common.checkpoint(shingles.described(texts))
+    rows = common.checkpoint(made.groupBy("doc_id", "h", "s").agg(F.count("*").alias("n")))
+    values = made.groupBy("s").agg(*[F.first(c).alias(c) for c in ("size", "prefix", "f0", "f1")])
+    found = shingles.shared_members(values.select("s", "size", "prefix"))
+    shared = common.checkpoint(found.join(values.select("s", "f0", "f1"), "s"))
+    wanted = rows.join(shared.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min(F.struct("doc_id", "h", "n")).alias("k"))
+    sets = common.checkpoint(shingles.sets_of(texts, common.checkpoint(wanted.select("s", "k.*"))))
+    roots = linked(shared, sets, rounds)
+    grouped = rows.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+    return least_of_each(docs, grouped)
 
 
 def least_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of docs that are least by doc_id and h, the text's hash, among those of a root in groups (doc_id, h, n, root)."""
-    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
     least = groups.groupBy("root").agg(F.min(F.struct("doc_id", "h", "n")).alias("k"))
-    kept = common.checkpoint(least.select(F.col("k.doc_id").alias("__id"), F.col("k.h").alias("__h"), F.col("k.n").alias("__n")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (text_hash == F.col("__h"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.join(kept.hint("shuffle_hash"), same)
-    once = rows.where("__n = 1").select(columns)
-    if kept.where("__n > 1").isEmpty():
+    kept = common.checkpoint(least.select("k.*"))
+    whole = docs.select(common.whole_row(docs), F.col("doc_id").cast("long").alias("own_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_h"))
+    rows = whole.join(kept.hint("shuffle_hash"), F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_h") == F.col("h")))
+    once = rows.where("n = 1").select("row.*")
+    if kept.where("n > 1").isEmpty():
         return once
-    return once.unionByName(rows.where("__n > 1").dropDuplicates(["__id", "__h"]).select(columns))
+    return once.unionByName(rows.where("n > 1").dropDuplicates(["own_id", "own_h"]).select("row.*"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

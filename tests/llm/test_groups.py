@@ -8,10 +8,11 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from folioquest.llm import common, packing, repeats, secrets, simhash, toxicity
-from tests.llm.conftest import SCHEMA, words
+from folioquest.llm import common, packing, planes, repeats, secrets, simhash, toxicity
+from tests.llm.conftest import SCHEMA, extras_unchanged, words
 from tests.llm.test_packing import check
 from tests.llm.test_repeats import gone_bytes
+from tests.llm.test_shingles import brute_groups
 
 
 def brute_fingerprint(text):
@@ -46,8 +47,9 @@ def test_groups_against_brute_force(spark, folder, rows):
     assert got == sorted((r[0], f"{f:016x}", least[g]) for r, f, g in zip(rows, fps, group, strict=True))
 
 
-@pytest.mark.parametrize("hot", [4096, 3])
-def test_links_with_hot_buckets(spark, hot):
+@pytest.mark.parametrize(("hot", "last"), [(4096, 12), (3, 36), (3, 28)])
+def test_links_with_hot_buckets(spark, monkeypatch, hot, last):
+    monkeypatch.setattr(simhash, "LAST_BITS", last)
     rng = random.Random(7)
     fps = {rng.getrandbits(64) for _ in range(40)}
     for f in list(fps)[:10]:
@@ -71,14 +73,25 @@ def test_bit_slices_against_counting():
     values = rng.integers(0, 1 << 63, 4, dtype=np.uint64)[rng.integers(0, 4, 500)]
     for _ in range(4):
         values ^= np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64)
-    planes = simhash._planes(values)
+    bits = planes.planes(values)
     for step in (1, 2, 63, 64, 65, 300):
-        valid = np.zeros(planes.shape[1] - 2, np.uint64)
+        valid = np.zeros(bits.shape[1] - 2, np.uint64)
         packed = np.packbits(np.ones(500 - step, np.uint8), bitorder="little")
         valid.view(np.uint8)[: len(packed)] = packed
-        valid = valid[: planes.shape[1] - 1 - step // 64]
-        near = simhash.within_radius(planes, step, valid)
-        assert near.tolist() == np.flatnonzero(np.bitwise_count(values[:-step] ^ values[step:]) <= 3).tolist()
+        valid = valid[: bits.shape[1] - 1 - step // 64]
+        for radius in (0, 1, 3, 7, 8, 31, 54):
+            near = planes.within_radius(bits, step, valid, radius)
+            assert near.tolist() == np.flatnonzero(np.bitwise_count(values[:-step] ^ values[step:]) <= radius).tolist()
+
+
+@pytest.mark.parametrize("radius", [3, 54])
+def test_near_pairs_of_groups(radius):
+    rng = np.random.default_rng(9)
+    group = np.sort(rng.integers(0, 30, 400))
+    values = rng.integers(0, 1 << 63, (6, 2), dtype=np.uint64)[rng.integers(0, 6, 400)] ^ (np.uint64(1) << rng.integers(0, 64, (400, 2)).astype(np.uint64))
+    got = {(int(i), int(j)) for a, b in planes.near_pairs(group, values, radius) for i, j in zip(a, b, strict=True)}
+    want = {(i, j) for i in range(400) for j in range(i + 1, 400) if group[i] == group[j] and int(np.bitwise_count(values[i] ^ values[j]).sum()) <= radius}
+    assert got == want
 
 
 def test_a_long_chain_is_one_component(spark):
@@ -90,7 +103,8 @@ def test_a_long_chain_is_one_component(spark):
 def test_empty_and_clashing(empty, clashing):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_of_each(empty).count() == 0
     assert simhash.near_duplicates(clashing).count() == 13
-    assert simhash.one_of_each(clashing).columns == clashing.columns
+    out = simhash.one_of_each(clashing)
+    assert out.columns == clashing.columns and extras_unchanged(out.collect())
 
 
 def test_one_of_each_with_repeated_rows(spark):
@@ -113,7 +127,7 @@ def test_pipeline_against_brute_force(spark, folder, rows, monkeypatch):
     model = toxicity.fit(docs, common.table(spark, folder, "labels"))
     own = toxicity.Model(model.bias, model.weights)
     left = [(r[0], r[1]) for r in rows if own.score(r[1] or "") < 0.7]
-    group = brute_components([brute_fingerprint(t) for _, t in left])
+    group = brute_groups([t for _, t in left])
     one = {}
     for row, g in zip(left, group, strict=True):
         order = (row[0], xxhash.xxh64_intdigest((row[1] or "").encode(), 42))

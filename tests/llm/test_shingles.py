@@ -5,8 +5,8 @@ import random
 import pytest
 
 import corpus_pipeline
-from folioquest.llm import shingles
-from tests.llm.conftest import SCHEMA, words
+from folioquest.llm import shingles, simhash
+from tests.llm.conftest import SCHEMA, extras_unchanged, words
 
 
 def brute_set(text):
@@ -14,8 +14,8 @@ def brute_set(text):
     return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
 
 
-def brute_kept(rows):
-    sets, root = [brute_set(t) for _, t in rows], list(range(len(rows)))
+def brute_groups(texts):
+    sets, root = [brute_set(t) for t in texts], list(range(len(texts)))
 
     def find(k):
         while root[k] != k:
@@ -26,9 +26,13 @@ def brute_kept(rows):
         for j, b in enumerate(sets[:i]):
             if 5 * len(a & b) >= 4 * len(a | b):
                 root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(k) for k in range(len(texts))]
+
+
+def brute_kept(rows):
     least = {}
-    for k, (doc_id, _) in enumerate(rows):
-        least[find(k)] = min(least.get(find(k), doc_id), doc_id)
+    for (doc_id, _), g in zip(rows, brute_groups([t for _, t in rows]), strict=True):
+        least[g] = min(least.get(g, doc_id), doc_id)
     return sorted(least.values())
 
 
@@ -59,7 +63,7 @@ def planted(seed=11):
 def test_kept_against_brute_force(spark, rounds):
     rows = planted()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert sorted(r["doc_id"] for r in shingles.one_of_each(docs, rounds).collect()) == brute_kept(rows)
+    assert sorted(r["doc_id"] for r in simhash.one_of_each(docs, rounds).collect()) == brute_kept(rows)
 
 
 def test_the_pipeline_drops_near_copies_of_0_8_to_0_97(spark, tmp_path):
@@ -77,12 +81,38 @@ def test_the_pipeline_drops_near_copies_of_0_8_to_0_97(spark, tmp_path):
 
 
 def test_empty_and_clashing_tables(empty, clashing):
-    assert shingles.one_of_each(empty).count() == 0
-    assert shingles.one_of_each(clashing).columns == clashing.columns
+    assert simhash.one_of_each(empty).count() == 0
+    out = simhash.one_of_each(clashing)
+    assert out.columns == clashing.columns and extras_unchanged(out.collect())
+
+
+def test_similar_sets_are_within_the_radius():
+    """Pairs at the edge of 0.8 differ in far fewer bits than the radius, unrelated ones in more."""
+    rng = random.Random(13)
+    make = shingles.Shingler()
+    for n in (9, 24, 100, 400):
+        far = 0
+        for _ in range(60):
+            base = words(rng, n, 50_000)
+            own = base.split()
+            near = " ".join([*own[: len(own) - n // 10], *words(rng, n // 10, 50_000).split()])
+            a, b, c = (make(t) for t in (base, near, words(rng, n, 50_000)))
+            f, g, h = (shingles.fingerprint(x) for x in (a, b, c))
+            bits = lambda x, y: sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x, y, strict=True))
+            assert not shingles.similar(a, b) or bits(f, g) <= 45
+            far += bits(f, h) > shingles.RADIUS
+        assert far > 48
+
+
+def test_a_very_long_text_and_its_near_copy(spark):
+    rng = random.Random(14)
+    long = words(rng, 60_000, 40_000)
+    rows = [(1, long), (2, changed(rng, long, 900)), (3, words(rng, 60_000, 40_000))]
+    assert sorted(r["doc_id"] for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [1, 3]
 
 
 def test_repeated_rows_and_null_ids(spark):
     text = words(random.Random(9), 50, 3000)
     rows = [(5, text), (3, text), (3, text), (8, "something else altogether now"), (None, None), (None, "")]
-    out = shingles.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"] or -1) for r in out) == [-1, 3, 8]
