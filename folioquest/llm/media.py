@@ -2,7 +2,8 @@
 
 Decoding covers P1 to P6 (8- and 16-bit samples) and uncompressed BMP of 8 (palette), 24 and 32 bits.
 Resizing integrates: sums along columns are interpolated at the cell borders, then sums along rows, so every
-source pixel counts by the area it shares with the cell. Rows are taken in strips; memory doesn't grow with the height.
+source pixel counts by the area it shares with the cell. Rows are taken in strips; beside the image memory holds one
+number for each row and each column of the result.
 
 A text becomes an image of 192 RGB pixels (576 bytes) a row: an even number of rows as P6, an odd one as 24-bit BMP.
 Null and empty texts give one row of 255s; equal texts give equal values; repeated rows are kept as rows of their own.
@@ -112,13 +113,15 @@ def _at(sums: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Mean of each cell of a height x width grid laid over a two-dimensional image."""
-    h, w = image.shape
+    """Mean of each cell of a height x width grid laid over an image, and over its channels where it has any."""
+    h, w = image.shape[:2]
     columns = np.linspace(0, w, width + 1)
     strips = []
     for lo in range(0, h, STRIP):
-        sums = np.zeros((min(STRIP, h - lo), w + 1))
-        np.cumsum(image[lo : lo + STRIP], axis=1, out=sums[:, 1:], dtype=np.float64)
+        strip = image[lo : lo + STRIP]
+        strip = strip.mean(axis=2) if strip.ndim == 3 else strip
+        sums = np.zeros((len(strip), w + 1))
+        np.cumsum(strip, axis=1, out=sums[:, 1:], dtype=np.float64)
         strips.append(np.diff(_at(sums, columns), axis=1))
     down = np.zeros((width, h + 1))
     np.cumsum(np.concatenate(strips).T, axis=1, out=down[:, 1:])
@@ -128,8 +131,7 @@ def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
 
 def difference_hash(image: np.ndarray) -> tuple[int, np.ndarray]:
     """64 bits, one for each cell darker than its right neighbour on an 8 x 9 grid; and that grid."""
-    gray = image.mean(axis=2) if image.shape[2] > 1 else image[:, :, 0]
-    tile = np.round(area_resize(gray, 8, 9), 6)
+    tile = np.round(area_resize(image, 8, 9), 6)
     bits = np.packbits((tile[:, :-1] < tile[:, 1:]).ravel())
     return int.from_bytes(bits.tobytes(), "big"), tile.astype(np.float32)
 

@@ -2,7 +2,12 @@
 
 Every version of every path is addressed by the SHA-256 of its text (its *blob*). The ledger holds the pairs of blob
 and rule version that were scanned, and what was found in them. A scan takes one row of each blob that has rules left
-to run, runs those rules, adds to the ledger, and joins findings back to all paths by the blob.
+to run, runs those rules, adds to the ledger, and joins findings back to all paths by the blob. Of the ledger's history
+only what concerns the blobs at hand is joined.
+
+The ledger is a folder of batches, one a scan: ``findings/<batch>`` is written first, and the batch counts from when
+``scanned/<batch>`` is there as a whole. A scan that breaks off leaves nothing that counts; two at the same time may scan
+the same pairs, whose findings are then read once.
 
 Offsets are code points and are counted without regular expressions that return them: a rule's matches and the text
 between them alternate, so running sums of their lengths, taken in rows instead of growing arrays, give each start.
@@ -13,6 +18,7 @@ Empty tables give empty results; columns other than the path's and the text's ar
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -49,11 +55,14 @@ BASE = (
 RULES = (
     *BASE,
     Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
-    Rule("login", r"[a-z][a-z0-9+]*://[^\s/:@]+:[^\s/:@]+@"),
+    # first parts are bounded, so that long runs of their characters aren't searched again from each of their places
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{1,1000}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40, 2),
+    Rule("login", r"[a-z][a-z0-9+]{0,30}://[^\s/:@]+:[^\s/:@]+@", version=2),
 )
+#: Characters of a text that are handled at a time when parts of it are put together.
+PART = 4096
 #: No text without a run that long has a finding of the rule; what the full pattern returns is not changed by it.
-HINTS = {"hex": "[0-9a-f]{32}", "access": "AKIA[A-Z0-9]{12}", "login": "://", "jwt": r"eyJ[A-Za-z0-9_-]+\."}
+HINTS = {"hex": "[0-9a-f]{32}", "access": "AKIA[A-Z0-9]{12}", "login": "://", "jwt": r"eyJ[A-Za-z0-9_-]{1,1000}\."}
 
 
 def versions(docs: DataFrame, path_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -86,23 +95,52 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def unseen(seen_versions: DataFrame, scanned: DataFrame | None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row (blob, path, todo) for each blob with rules that the ledger's ``scanned`` (blob, rule) doesn't have."""
+    """One row (blob, path, todo) for each blob with rules that the ledger's ``scanned`` (blob, rules) doesn't have."""
     all_rules = F.array(*[F.lit(r.name) for r in rules])
     blobs = seen_versions.groupBy("blob").agg(F.min("path").alias("path"))
     if scanned is None:
         return blobs.withColumn("todo", all_rules)
-    known = scanned.groupBy("blob").agg(F.collect_set("rule").alias("known"))
+    known = scanned.join(seen_versions.select("blob").distinct(), "blob", "left_semi").groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("known"))
     left = blobs.join(known, "blob", "left").withColumn("todo", F.array_except(all_rules, F.coalesce("known", F.array().cast("array<string>"))))
     return left.where(F.size("todo") > 0).drop("known")
 
 
-def new_findings(keyed: DataFrame, scanned: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Scan what is unseen among rows (path, blob, body)."""
-    work = unseen(keyed.select("path", "blob"), scanned, rules).select(F.col("blob").alias("one_blob"), F.col("path").alias("one_path"), "todo")
-    texts = keyed.join(work.hint("shuffle_hash"), (F.col("blob") == F.col("one_blob")) & F.col("path").eqNullSafe(F.col("one_path"))).select("blob", "todo", "body")
+def new_findings(keyed: DataFrame, work: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Findings of what is unseen: rows (path, blob, body) of which ``work`` (blob, path, todo) names one for each blob."""
+    todo = work.select(F.col("blob").alias("one_blob"), F.col("path").alias("one_path"), "todo")
+    texts = keyed.join(todo.hint("shuffle_hash"), (F.col("blob") == F.col("one_blob")) & F.col("path").eqNullSafe(F.col("one_path"))).select("blob", "todo", "body")
     return scan_blobs(texts, rules)
 
 
+def batches(spark: SparkSession, ledger: str) -> list[str]:
+    """The names of the ledger's whole batches."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/scanned")
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
+    return sorted(n for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/scanned/{n}/_SUCCESS")))
+
+
+def findings(keyed: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """blob, rank, start, end of all findings in rows (path, blob, body). With a ledger, only unseen pairs of blob and rule version are scanned, what they hold is added, and all findings come from it."""
+    if ledger is None:
+        return new_findings(keyed, unseen(keyed.select("path", "blob"), None, rules), rules)
+    spark = keyed.sparkSession
+    before = batches(spark, ledger)
+    history = lambda table: spark.read.parquet(*[f"{ledger}/{table}/{b}" for b in before])
+    work = common.checkpoint(unseen(keyed.select("path", "blob"), history("scanned") if before else None, rules))
+    batch = uuid.uuid4().hex
+    named = F.array(*[F.lit(r.name) for r in rules])
+    found = new_findings(keyed, work, rules).select("blob", F.element_at(named, F.col("rank") + 1).alias("rule"), "start", "end")
+    found.write.parquet(f"{ledger}/findings/{batch}")
+    work.select("blob", F.col("todo").alias("rules")).write.parquet(f"{ledger}/scanned/{batch}")
+    known = spark.read.parquet(f"{ledger}/findings/{batch}")
+    if before:
+        old = history("findings").where(F.col("rule").isin([r.name for r in rules]))
+        known = known.unionByName(old.join(keyed.select("blob").distinct(), "blob", "left_semi")).distinct()
+    ranks = F.create_map(*[x for k, r in enumerate(rules) for x in (F.lit(r.name), F.lit(k))])
+    return known.select("blob", ranks[F.col("rule")].alias("rank"), "start", "end")
+
+
 def by_path(keyed: DataFrame, findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Every row of (path, blob) with its blob's findings, an array sorted by start and rule; empty where there are none."""
     kinds = F.create_map(*[x for k, r in enumerate(rules) for x in (F.lit(k), F.lit(r.kind))])
@@ -113,48 +151,43 @@ def by_path(keyed: DataFrame, findings: DataFrame, rules: tuple[Rule, ...] = RUL
 
 
 def scan(docs: DataFrame, ledger: str | None = None, path_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """path, blob, findings for every row. With a ledger folder, only unseen pairs of blob and rule version are scanned, and what they hold is added to it before the join.
-
-    The folder has two tables. ``findings`` is written before ``scanned``: a run that breaks off between them scans
-    the same pairs again and its repeated findings are dropped on reading.
-    """
-    spark = docs.sparkSession
+    """path, blob, findings for every row, through the ledger in a folder if one is named."""
     keyed = versions(docs, (path_col,), text_col).withColumnRenamed(path_col, "path")
-    if ledger is None:
-        return by_path(keyed, new_findings(keyed, None, rules), rules)
-    exists = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/scanned").getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/scanned"))
-    scanned = spark.read.parquet(f"{ledger}/scanned") if exists else None
-    pairs = common.checkpoint(unseen(keyed.select("path", "blob"), scanned, rules).select("blob", F.explode("todo").alias("rule")))
-    named = F.array(*[F.lit(r.name) for r in rules])
-    found = new_findings(keyed, scanned, rules).select("blob", F.element_at(named, F.col("rank") + 1).alias("rule"), "start", "end")
-    found.write.mode("append").parquet(f"{ledger}/findings")
-    pairs.write.mode("append").parquet(f"{ledger}/scanned")
-    ranks = F.create_map(*[x for k, r in enumerate(rules) for x in (F.lit(r.name), F.lit(k))])
-    known = spark.read.parquet(f"{ledger}/findings").where(F.col("rule").isin([r.name for r in rules])).distinct()
-    return by_path(keyed, known.select("blob", ranks[F.col("rule")].alias("rank"), "start", "end"), rules)
+    return by_path(keyed, findings(keyed, ledger, rules), rules)
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
-    """The rows with each stretch of overlapping or touching findings in ``text`` replaced by the mark, and ``n_chars`` counted anew where there is one."""
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]", ledger: str | None = None) -> DataFrame:
+    """The rows with each stretch of overlapping or touching findings in ``text`` replaced by the mark, and ``n_chars`` counted anew where there is one.
+
+    A text with findings is cut into parts of ``PART`` characters once; what stays between two stretches is taken from
+    the parts it lies in, so the work follows the text's length whatever the number of findings.
+    """
     keyed = versions(docs).withColumnRenamed("doc_id", "path")
-    rows = new_findings(keyed, None, rules).select(F.col("blob").alias("__blob"), F.col("start").alias("s"), F.col("end").alias("e"))
-    order = Window.partitionBy("__blob").orderBy("s", "e")
+    rows = findings(keyed, ledger, rules).select("blob", F.col("start").alias("s"), F.col("end").alias("e"))
+    order = Window.partitionBy("blob").orderBy("s", "e")
     fresh = rows.withColumn("fresh", F.coalesce(F.col("s") > F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)))
-    runs = fresh.withColumn("run", F.sum(F.col("fresh").cast("int")).over(order)).groupBy("__blob", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    runs = fresh.withColumn("run", F.sum(F.col("fresh").cast("int")).over(order)).groupBy("blob", "run").agg(F.min("s").cast("int").alias("s"), F.max("e").cast("int").alias("e"))
     # the text kept before each run, and after the last
-    runs = runs.withColumn("from", F.coalesce(F.lag("e").over(Window.partitionBy("__blob").orderBy("s")), F.lit(0)))
-    cuts = runs.groupBy("__blob").agg(F.array_sort(F.collect_list(F.struct("s", "e", "from"))).alias("__cuts"))
-    joined = docs.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256)).join(cuts, "__blob", "left")
-    text = F.col("text")
-    kept = F.transform("__cuts", lambda c: F.concat(F.substring(text, (c["from"] + 1).cast("int"), (c["s"] - c["from"]).cast("int")), F.lit(mark)))
-    tail = F.substring(text, (F.element_at("__cuts", -1)["e"] + 1).cast("int"), F.length(text))
-    clean = F.when(F.col("__cuts").isNull(), text).otherwise(F.concat(F.array_join(kept, ""), tail))
-    out = joined.withColumn("text", clean)
-    return out.withColumns({"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {}).select(*[F.col(f"`{c}`") for c in docs.columns])
+    runs = runs.withColumn("from", F.coalesce(F.lag("e").over(Window.partitionBy("blob").orderBy("s")), F.lit(0)))
+    cuts = runs.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("s", "e", "from"))).alias("cuts"))
+    whole = docs.select(common.whole_row(docs), F.sha2(F.coalesce("text", F.lit("")), 256).alias("own_blob"))
+    text = F.col("row.text")
+    joined = whole.join(cuts, F.col("own_blob") == F.col("blob"), "left")
+    joined = joined.withColumn("parts", F.when(F.col("cuts").isNotNull(), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))))
+    at = lambda x: F.floor(x / PART).cast("int")
+
+    def between(a: Column, b: Column) -> Column:
+        parts = F.array_join(F.slice("parts", at(a) + 1, F.greatest(at(b) - at(a) + 1, F.lit(0))), "")
+        return F.substring(parts, (a - at(a) * PART + 1).cast("int"), (b - a).cast("int"))
+
+    kept = F.transform("cuts", lambda c: F.concat(between(c["from"], c["s"]), F.lit(mark)))
+    clean = F.when(F.col("cuts").isNull(), text).otherwise(F.concat(F.array_join(kept, ""), between(F.element_at("cuts", -1)["e"], F.length(text))))
+    return common.with_text(joined, docs, clean)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = scan(common.documents(spark, sf_dir))
+    """The whole table through a ledger of its own, begun in the shared folder."""
+    rows = scan(common.documents(spark, sf_dir), f"{common.shared_folder(spark)}/secret-ledger-{uuid.uuid4().hex}")
     base = F.filter("findings", lambda x: x["kind"].isin([r.kind for r in BASE]))
     joined = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     count = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")

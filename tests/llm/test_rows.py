@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 
-from folioquest.llm import bpe, media, secrets
+from folioquest.llm import bpe, media, packing, secrets
+from tests.llm.conftest import extras_unchanged, words
 
 KINDS = ((secrets.BASE[0].pattern, 2, 8, "assign"), (secrets.BASE[1].pattern, 0, 16, "access"), (secrets.BASE[2].pattern, 0, 32, "hex"))
 
@@ -36,12 +38,27 @@ def test_secret_ledger_scans_only_unseen(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
     first = spark.createDataFrame([(1, "token = abcdefgh1"), (2, "token = abcdefgh1"), (3, None)], "doc_id long, text string")
     assert [len(r["findings"]) for r in secrets.scan(first, ledger, rules=secrets.BASE).orderBy("path").collect()] == [1, 1, 0]
-    assert spark.read.parquet(f"{ledger}/scanned").count() == 2 * 3
+    pairs = lambda: spark.read.parquet(*[f"{ledger}/scanned/{b}" for b in secrets.batches(spark, ledger)]).selectExpr("sum(size(rules))").first()[0]
+    assert pairs() == 2 * 3
+    # the same table again: nothing to scan, the same findings
+    assert [len(r["findings"]) for r in secrets.scan(first, ledger, rules=secrets.BASE).orderBy("path").collect()] == [1, 1, 0]
+    assert pairs() == 2 * 3
     more = first.unionAll(spark.createDataFrame([(4, "x " + "ab12" * 8)], "doc_id long, text string"))
     rules = (*secrets.BASE[:2], secrets.Rule("hex", "[0-9a-f]+", 0, 32, version=2))
     assert [len(r["findings"]) for r in secrets.scan(more, ledger, rules=rules).orderBy("path").collect()] == [1, 1, 0, 1]
     # two known blobs by the new rule, one new blob by all three
-    assert spark.read.parquet(f"{ledger}/scanned").count() == 6 + 2 + 3
+    assert pairs() == 6 + 2 + 3
+    assert secrets.redact(first, secrets.BASE, ledger=ledger).where("doc_id < 3 and text <> '[SECRET]'").isEmpty()
+    assert pairs() == 6 + 2 + 3
+
+
+def test_a_batch_that_broke_off_does_not_count(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    docs = spark.createDataFrame([(1, "token = abcdefgh1")], "doc_id long, text string")
+    assert len(secrets.scan(docs, ledger).first()["findings"]) == 1
+    (batch,) = secrets.batches(spark, ledger)
+    (tmp_path / "ledger" / "scanned" / batch / "_SUCCESS").unlink()
+    assert secrets.batches(spark, ledger) == [] and len(secrets.scan(docs, ledger).first()["findings"]) == 1
 
 
 def test_secret_plan_is_native(spark, docs):
@@ -59,7 +76,30 @@ def test_row_operators_take_empty_and_clashing_tables(empty, clashing):
     for f in (secrets.scan, media.media_columns, bpe.encode_documents):
         assert f(empty).count() == 0
         assert f(clashing).count() == 13
-    assert secrets.redact(clashing).columns == clashing.columns
+    out = secrets.redact(clashing)
+    assert out.columns == clashing.columns and extras_unchanged(out.collect())
+
+
+def test_redact_long_texts_with_many_secrets(spark):
+    rng = random.Random(2)
+    parts = [rng.choice(["é", "😀 ", "word "]) * rng.randrange(0, 900) + f" token={'a' * 8}{k} " for k in range(300)]
+    text = "".join(parts) + "end"
+    for t in (text, "token=" + "b" * 9, "token=" + "b" * 9 + "x" * 5000, "x" * 4095 + " token=" + "b" * 9):
+        out = secrets.redact(spark.createDataFrame([(1, t)], "doc_id long, text string"), secrets.BASE).first()["text"]
+        assert out == re.sub(r"token=[a-z0-9]{8,}", "[SECRET]", t)
+
+
+def test_patterns_stay_fast_on_long_runs(spark):
+    long = "a" * 300_000 + " x://y:z@ eyJ" + "eyJ" * 50_000 + ". " + "password" * 20_000
+    began = time.time()
+    found = secrets.scan(spark.createDataFrame([(1, long)], "doc_id long, text string")).first()["findings"]
+    assert time.time() - began < 60 and any(x["kind"] == "login" for x in found)
+
+
+@pytest.mark.parametrize("operator", [media.media_columns, bpe.encode_documents, packing.pack])
+def test_row_operators_take_very_long_texts(spark, operator):
+    text = words(random.Random(4), 200_000, 9000)
+    assert operator(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")).count() >= 2
 
 
 def test_media_round_trip(spark, folder, rows):
