@@ -1,22 +1,26 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic rows are the positives; the unlabelled set is every labelled row of the training fold with its label
-hidden. With class prior ``p``, the risk is ``p R+(P) + max(0, R-(U) - p R-(P))``: when the second part falls below
-zero the classifier has begun to fit positives hidden in the unlabelled set, and the step goes the other way.
+Confirmed toxic rows of the training fold are the positives; the unlabelled set is a draw from all documents of the
+fold, with and without labels, whose labels aren't looked at. With class prior ``p``, the risk is
+``p R+(P) + max(0, R-(U) - p R-(P))``: when the second part falls below zero the classifier has begun to fit positives
+hidden in the unlabelled set, and the step goes the other way. The prior is a parameter; left out, it is estimated
+without any negatives, as the least share of unlabelled rows above a cut over the share of positives above it, on rows
+that the scoring model hasn't seen.
 
 A text's features are the distinct words in it and the first 4, 5 and 6 bytes of each, all lower-cased, with a second
 and third feature where two and three distinct words share such a beginning; nothing else of the row is read. Spark
-counts features over the training rows; the ``MAX_FEATURES`` that stand out most among positives, by ``LEAST_Z``
-standard errors at least, enter a linear model without negative weights. Training takes at most about ``MAX_TRAIN``
-labelled rows, drawn by a hash of the id; every row is scored on its whole text.
-
-The place of the 0.7 cut is found on rows that a model hasn't seen: three models, each trained without a third of the
-rows, score that third, and the cut goes where recall squared over the share of rows above it is best. That criterion
-needs positives and unlabelled rows only. Scores are shifted so that this place is 0.7.
-
-Null and empty texts score what the intercept gives. Without positives or without unlabelled rows nothing can be
-learnt: every score is then the prior (0 without any labels). Ties in feature choice go by the feature's bytes.
-Repeated rows are scored alike; an id with conflicting labels counts as toxic.
+counts features over the training rows; all that are ``LIFT`` times as frequent among positives as in the rest, with a
+likelihood ratio of ``LEAST_G`` for it, enter a linear model without negative weights. Training takes positives and
+unlabelled rows of about ``MAX_TRAIN`` ids each at most, drawn by a hash of the id; every row is scored on its whole text.
+
+The place of the 0.7 cut is found on rows that a model hasn't seen: ``PARTS`` models, each trained without one part of
+the rows, score that part, and the cut goes where recall and estimated precision (the prior times recall, over the share
+of unlabelled rows above the cut) have the best harmonic mean. That needs positives and unlabelled rows only. The
+intercept is set so that this place is 0.7.
+
+Null and empty texts score what the intercept gives. Where there are no positives, or nothing sets them apart, nothing can
+be learnt and every score is all but 0. Ties in feature choice go by the feature's bytes. Repeated rows are scored alike
+and enter training as one row with a weight; an id with conflicting labels counts as toxic.
 """
 
 from __future__ import annotations
@@ -29,15 +33,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioquest.llm import common
 
 MAX_TRAIN = 40_000
-MAX_FEATURES = 2048
+#: Bounds of an estimated prior, the prior it is estimated with, and the share of positives a cut must have above it.
+LEAST_PRIOR, MOST_PRIOR, FIRST_PRIOR, LEAST_RECALL = 1e-4, 0.9, 0.1, 0.25
 LEAST_POSITIVES = 2
-LEAST_Z = 3.0
+LEAST_G, LIFT = 15.0, 2.0
+PARTS = 6
 FLUSH = 200_000
 STEPS = 300
 RATE = 0.1
@@ -96,20 +102,40 @@ class Model:
         return 1 / (1 + math.exp(-z)) if z >= 0 else math.exp(z) / (1 + math.exp(z))
 
 
-def train(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, n_features: int, prior: float, steps: int = STEPS, rate: float = RATE, shrink: float = SHRINK) -> tuple[float, np.ndarray]:
-    """Intercept and weights. Row i of the sparse 0/1 matrix has the features ``columns[rows == i]``; ``positive`` marks confirmed rows, and all rows are the unlabelled set."""
-    n, n_pos = len(positive), int(positive.sum())
+@dataclass
+class Rows:
+    """A sparse 0/1 matrix, entry by entry, and each row's weight among the positives and among the unlabelled."""
+
+    row: np.ndarray
+    column: np.ndarray
+    positive: np.ndarray
+    unlabelled: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.positive)
+
+    def only(self, keep: np.ndarray) -> Rows:
+        own = keep[self.row]
+        return Rows((np.cumsum(keep) - 1)[self.row[own]], self.column[own], self.positive[keep], self.unlabelled[keep])
+
+    def margins(self, weights: np.ndarray) -> np.ndarray:
+        """Each row's sum of weights; 0 without features."""
+        return np.bincount(self.row, weights[self.column], len(self))
+
+
+def train(data: Rows, n_features: int, prior: float, steps: int = STEPS, rate: float = RATE, shrink: float = SHRINK) -> tuple[float, np.ndarray]:
+    """Intercept and weights."""
     bias, weights = math.log(prior / (1 - prior)), np.zeros(n_features)
-    share_pos, share_all = positive / n_pos, np.full(n, 1 / n)
+    share_pos, share_all = data.positive / data.positive.sum(), data.unlabelled / data.unlabelled.sum()
     first, second = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, steps + 1):
-        z = bias + np.bincount(rows, weights[columns], n)
+        z = bias + data.margins(weights)
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
         as_negative = np.logaddexp(0, z)
         rest = as_negative @ share_all - prior * (as_negative @ share_pos)
         up = p * (share_all - prior * share_pos)
         slope = up - prior * (1 - p) * share_pos if rest >= 0 else -up
-        grad = np.append(np.bincount(columns, slope[rows], n_features) + shrink * weights, slope.sum())
+        grad = np.append(np.bincount(data.column, slope[data.row], n_features) + shrink * weights, slope.sum())
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
         move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -117,91 +143,125 @@ def train(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, n_feature
     return float(bias), weights
 
 
-def best_cut(z: np.ndarray, positive: np.ndarray) -> float:
-    """Between two values of z: the cut with the largest squared recall over the share of rows above it."""
+def above(z: np.ndarray, data: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values of z from the highest down, and the shares of positives and of unlabelled rows that have at least that."""
     order = np.argsort(-z, kind="stable")
-    value, recall = z[order], np.cumsum(positive[order]) / positive.sum()
-    worth = recall**2 / (np.arange(1, len(z) + 1) / len(z))
+    value = z[order]
     last = np.append(value[:-1] > value[1:], True)
-    at = int(np.argmax(np.where(last, worth, -1)))
-    return float((value[at] + (value[at + 1] if at + 1 < len(z) else value[at] - 1)) / 2)
-
-
-def train_and_place(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, n_features: int, prior: float) -> tuple[float, np.ndarray]:
-    """As ``train``, with the intercept shifted so that ``CUT`` is where unseen rows are told apart best."""
-    bias, weights = train(rows, columns, positive, n_features, prior)
-    part = np.arange(len(positive)) % 3
-    unseen = np.zeros(len(positive))
-    for k in range(3):
-        seen = part != k
-        if not positive[seen].any():
-            return bias, weights
-        new = np.cumsum(seen) - 1
-        own = seen[rows]
-        b, w = train(new[rows[own]], columns[own], positive[seen], n_features, prior)
-        unseen += np.where(seen, 0, b + np.bincount(rows, w[columns], len(positive)))
-    return bias - best_cut(unseen, positive) + math.log(CUT / (1 - CUT)), weights
-
-
-def labelled_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
-    """(text, toxic) of the training fold: about ``most`` rows at most, drawn by a hash of the id."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null and doc_id is not null")
-    known = known.where(common.crc_column() % FOLDS != HELD_OUT).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n = known.count()
-    if n > most:
-        known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 20)) < int((1 << 20) * most / n))
-    # about ``most`` ids and labels at most, so they can go to the texts
-    return common.keyed_text(docs).join(F.broadcast(known), "doc_id").select("text", "toxic")
+    share = lambda w: (np.cumsum(w[order]) / w.sum())[last]
+    return value[last], share(data.positive), share(data.unlabelled)
+
+
+def best_cut(z: np.ndarray, data: Rows, prior: float) -> float:
+    """Between two values of z, above the lowest: the cut with the best harmonic mean of recall and estimated precision."""
+    value, recall, share = above(z, data)
+    if len(value) < 2:
+        return float(value[0]) + 1
+    at = int(np.argmax((recall / (share + prior))[:-1]))
+    return float((value[at] + value[at + 1]) / 2)
+
+
+def estimated_prior(z: np.ndarray, data: Rows) -> float:
+    """How many of the unlabelled rows are positive at most: wherever a cut is laid, the positives among them pass it as often as the confirmed ones do."""
+    _, recall, share = above(z, data)
+    enough = recall >= LEAST_RECALL
+    return float(np.clip((share[enough] / recall[enough]).min(), LEAST_PRIOR, MOST_PRIOR))
+
+
+def unseen_margins(data: Rows, n_features: int, prior: float) -> np.ndarray | None:
+    """Each row's margin by a model of the other parts; None if there are too few rows for that."""
+    part, out = np.arange(len(data)) % PARTS, np.zeros(len(data))
+    for k in range(PARTS):
+        rest = data.only(part != k)
+        if not rest.positive.sum() or not rest.unlabelled.sum():
+            return None
+        out = np.where(part == k, data.margins(train(rest, n_features, prior)[1]), out)
+    return out
+
+
+def train_and_place(data: Rows, n_features: int, prior: float | None) -> tuple[float, np.ndarray]:
+    """As ``train``, with an intercept by which ``CUT`` is where unseen rows are told apart best. Rows without features are below it."""
+    if prior is None:
+        z = unseen_margins(data, n_features, FIRST_PRIOR)
+        prior = FIRST_PRIOR if z is None else estimated_prior(z, data)
+    bias, weights = train(data, n_features, prior)
+    z = unseen_margins(data, n_features, prior)
+    return (bias if z is None else math.log(CUT / (1 - CUT)) - best_cut(z, data, prior)), weights
+
+
+def _drawn(n: int, most: int) -> Column:
+    """Whether an id is among about ``most`` of n."""
+    return F.lit(True) if n <= most else F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 20)) < int((1 << 20) * most / n)
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
+    """(text, positive, drawn) of the training fold: confirmed toxic rows, and a draw from all rows; ``most`` ids of each or so."""
+    fold = common.crc_column() % FOLDS != HELD_OUT
+    toxic = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(fold & (F.col("toxic") == 1)).select("doc_id").distinct()
+    toxic = toxic.where(_drawn(toxic.count(), most)).withColumn("positive", F.lit(True))
+    texts = common.keyed_text(docs).where(fold)
+    # about ``most`` ids at most, so they can go to the texts
+    rows = texts.withColumn("drawn", _drawn(texts.count(), most)).join(F.broadcast(toxic), "doc_id", "left")
+    return rows.select("text", F.coalesce("positive", F.lit(False)).alias("positive"), "drawn").where("positive or drawn")
 
 
 def count_features(rows: DataFrame) -> DataFrame:
-    """feature, in_positive, in_all: how many rows have the feature."""
+    """feature, in_positive, in_rest: how many positive rows have the feature, and how many other drawn ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pos: Counter[bytes] = Counter()
-        every: Counter[bytes] = Counter()
+        rest: Counter[bytes] = Counter()
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(every), pa.binary()), pa.array([pos[f] for f in every], pa.int64()), pa.array(list(every.values()), pa.int64())], names=["feature", "in_positive", "in_all"])
+            keys = [*rest, *(f for f in pos if f not in rest)]
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([pos[f] for f in keys], pa.int64()), pa.array([rest[f] for f in keys], pa.int64())], names=["feature", "in_positive", "in_rest"])
 
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            for text, positive in zip(*(batch.column(c).to_pylist() for c in ("text", "positive")), strict=True):
                 found = features(text)
-                every.update(found)
-                if toxic:
-                    pos.update(found)
-                if len(every) > FLUSH:
+                (pos if positive else rest).update(found)
+                if len(rest) + len(pos) > FLUSH:
                     yield out()
                     pos.clear()
-                    every.clear()
+                    rest.clear()
         yield out()
 
-    made = rows.mapInArrow(run, "feature binary, in_positive long, in_all long")
-    return made.groupBy("feature").agg(F.sum("in_positive").alias("in_positive"), F.sum("in_all").alias("in_all"))
-
-
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN, n_features: int = MAX_FEATURES) -> Model:
-    rows = common.checkpoint(labelled_rows(docs, labels, most))
-    n, n_pos = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if not n_pos or n_pos == n:
-        return Model(-40.0 if not n_pos else math.log(n_pos + 1))
-    share = F.col("in_all") / n
-    apart = (F.col("in_positive") / n_pos - share) / F.sqrt(share * (1 - share) / n_pos + 1e-12)
-    best = count_features(rows).where(F.col("in_positive") >= LEAST_POSITIVES).select("feature", apart.alias("z")).where(F.col("z") >= LEAST_Z)
-    chosen = [bytes(r["feature"]) for r in best.orderBy(F.desc("z"), "feature").limit(n_features).collect()]
+    made = rows.mapInArrow(run, "feature binary, in_positive long, in_rest long")
+    return made.groupBy("feature").agg(F.sum("in_positive").alias("in_positive"), F.sum("in_rest").alias("in_rest"))
+
+
+def stands_out(a: Column, n: int, b: Column, m: int) -> Column:
+    """Whether a of n rows are significantly more than b of m."""
+    part = lambda k, of, share: F.when(k > 0, k * F.log(k / (of * share))).otherwise(0.0)
+    both = (a + b) / (n + m)
+    g = 2 * (part(a, n, both) + part(n - a, n, 1 - both) + part(b, m, both) + part(m - b, m, 1 - both))
+    return (a / n >= LIFT * (b + 1) / (m + 2)) & (g >= LEAST_G)
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN, prior: float | None = None) -> Model:
+    rows = common.checkpoint(training_rows(docs, labels, most))
+    n, n_pos, n_rest = rows.agg(F.count_if("drawn"), F.count_if("positive"), F.count_if(~F.col("positive"))).first()
+    nothing = Model(-40.0)
+    if not n or not n_pos or not n_rest:
+        return nothing
+    out = stands_out(F.col("in_positive"), n_pos, F.col("in_rest"), n_rest)
+    # features of at most about ``most`` positive rows
+    chosen = sorted(bytes(r["feature"]) for r in count_features(rows).where((F.col("in_positive") >= LEAST_POSITIVES) & out).select("feature").collect())
+    if not chosen:
+        return nothing
     place = {f: i for i, f in enumerate(chosen)}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.array(sorted(place[f] for f in features(t) if f in place), "<i4").tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("toxic")], names=["present", "toxic"])
-
-    # at most about ``most`` rows of at most ``n_features`` numbers
-    matrix = rows.mapInArrow(encode, "present binary, toxic int").groupBy("present", "toxic").agg(F.count("*").alias("n")).orderBy("present", "toxic").collect()
-    present = [np.frombuffer(bytes(r["present"]), "<i4") for r in matrix for _ in range(r["n"])]
-    positive = np.array([bool(r["toxic"]) for r in matrix for _ in range(r["n"])])
-    row_of = np.repeat(np.arange(len(present)), [len(x) for x in present])
-    bias, weights = train_and_place(row_of, np.concatenate([*present, np.zeros(0, "<i4")]).astype(np.int64), positive, len(chosen), n_pos / n)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("positive"), batch.column("drawn")], names=["present", "positive", "drawn"])
+
+    # rows of at most about twice ``most`` ids; those with the same features are one row with weights
+    encoded = rows.mapInArrow(encode, "present binary, positive boolean, drawn boolean").groupBy("present").agg(F.count_if("positive").alias("p"), F.count_if("drawn").alias("u"))
+    matrix = encoded.orderBy(F.xxhash64("present"), "present").toArrow()
+    present = [np.frombuffer(x, "<i4") for x in matrix.column("present").to_pylist()]
+    data = Rows(np.repeat(np.arange(len(present)), [len(x) for x in present]), np.concatenate(present).astype(np.int64), matrix.column("p").to_numpy().astype(float), matrix.column("u").to_numpy().astype(float))
+    bias, weights = train_and_place(data, len(chosen), prior)
     return Model(bias, {f: float(w) for f, w in zip(chosen, weights, strict=True) if w})
 
 
@@ -219,15 +279,15 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 def reject(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
     """The rows whose text scores below the cut, with all their columns."""
     bias, weights = model.bias, model.weights
-    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(bias, weights)
         for batch in batches:
-            keep = [own.score(t or "") < cut for t in batch.column(at).to_pylist()]
+            keep = [own.score(t or "") < cut for t in batch.column("row").field("text").to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = docs.select(common.whole_row(docs))
+    return rows.mapInArrow(run, rows.schema).select("row.*")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
