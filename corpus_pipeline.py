@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioquest.llm import common, packing, secrets, shingles, suffixes, toxicity
+from folioquest.llm import common, packing, secrets, simhash, suffixes, toxicity
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +20,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by similar five-word shingles one document stays, the one with the smallest id."""
-    return shingles.one_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Found secrets are replaced by a mark; no document goes."""
-    return secrets.redact(docs)
+    """Found secrets are replaced by a mark; no document goes. What is scanned goes through a ledger in the shared folder."""
+    return secrets.redact(docs, ledger=f"{common.shared_folder(spark)}/secret-ledger-{uuid.uuid4().hex}")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +51,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Intermediate tables lie in the shared folder and go when the next one is written; the last stage stores what it has read before its result is made."""
     folder = f"{common.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs, before = common.documents(spark, sf_dir), None
     for k, (name, stage) in enumerate(STAGES[:-1]):
@@ -58,4 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if before:
             common.delete(spark, before)
         docs, before = spark.read.parquet(path), path
-    return STAGES[-1][1](spark, docs, sf_dir)
+    out = common.checkpoint(STAGES[-1][1](spark, docs, sf_dir))
+    common.delete(spark, folder)
+    return out
