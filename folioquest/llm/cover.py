@@ -47,39 +47,34 @@ def parts_of(data: bytes) -> Iterator[list[bytes]]:
 
 
 class Words:
-    """The word hashes of a block's texts, end to end; ``start`` has each text's first place, and one more."""
+    """Two hashes of each word of a block's texts, end to end; ``start`` has each text's first place, and one more."""
 
     def __init__(self, texts: list[bytes]):
-        import xxhash
-
-        hashes, sizes = [np.zeros(0, np.uint64)], []
-        for data in texts:
-            own = [np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) for words in parts_of(data)]
-            sizes.append(sum(map(len, own)))
-            hashes += own
-        self.hash = np.concatenate(hashes)
-        self.start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.sizes = np.array(sizes, np.int64)
-        self.in_text = np.arange(len(self.hash)) - np.repeat(self.start[:-1], self.sizes)
+        self.hashes, self.sizes = repeats.word_hashes(texts, (1, 2))
+        self.start = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
+        self.in_text = np.arange(self.start[-1]) - np.repeat(self.start[:-1], self.sizes)
         self.left = np.repeat(self.sizes, self.sizes) - self.in_text
         self._known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def _sums(self, base: int) -> tuple[np.ndarray, np.ndarray]:
-        if base in self._known:
-            return self._known[base]
-        n = len(self.hash)
+    def __len__(self) -> int:
+        return int(self.start[-1])
+
+    def _sums(self, which: int) -> tuple[np.ndarray, np.ndarray]:
+        if which in self._known:
+            return self._known[which]
+        n, base = len(self), BASES[which]
         powers, inverse = (np.full(n + 1, b, np.uint64) for b in (base, pow(base, -1, 1 << 64)))
         powers[0] = inverse[0] = 1
         np.multiply.accumulate(powers, out=powers)
         np.multiply.accumulate(inverse, out=inverse)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.hash * powers[:n], out=sums[1:])
-        self._known[base] = sums, inverse
+        np.cumsum(self.hashes[which] * powers[:n], out=sums[1:])
+        self._known[which] = sums, inverse
         return sums, inverse
 
-    def windows(self, at: np.ndarray, length: int, base: int) -> np.ndarray:
-        """A hash of the ``length`` words from each place."""
-        sums, inverse = self._sums(base)
+    def windows(self, at: np.ndarray, length: int, which: int) -> np.ndarray:
+        """A hash of the ``length`` words from each place, by the first or the second hash of words."""
+        sums, inverse = self._sums(which)
         return repeats.mix((sums[at + length] - sums[at]) * inverse[at])
 
     def anchors(self, length: int) -> np.ndarray:
@@ -89,13 +84,13 @@ class Words:
 
     def around(self, anchors: np.ndarray, window: int) -> np.ndarray:
         """Marks the windows with one of these anchors among their first PERIOD places."""
-        n = len(self.hash)
+        n = len(self)
         sums = np.zeros(n + 1, np.int64)
         np.cumsum(np.bincount(anchors, minlength=n), out=sums[1:])
         return (self.left >= window) & (sums[np.minimum(np.arange(n) + PERIOD, n)] > sums[:-1])
 
     def keys(self, at: np.ndarray, window: int) -> repeats.Keys:
-        return repeats.Keys.make(*(self.windows(at, window, b) for b in BASES))
+        return repeats.Keys.make(*(self.windows(at, window, b) for b in (0, 1)))
 
 
 def mark(docs: DataFrame, window: int = WINDOW):
@@ -108,7 +103,7 @@ def mark(docs: DataFrame, window: int = WINDOW):
 
     def send_anchors(key, block):
         words = Words(repeats.ordered(block)[1])
-        keys = repeats.Keys.make(words.windows(words.anchors(anchor), anchor, BASES[0]))
+        keys = repeats.Keys.make(words.windows(words.anchors(anchor), anchor, 0))
         return repeats.table(list(keys.rows(key[0].as_py(), buckets, ANCHORS)), repeats.ROWS_ARROW)
 
     def count(_, bucket):
@@ -124,7 +119,7 @@ def mark(docs: DataFrame, window: int = WINDOW):
         number = key[0].as_py()
         words = Words(repeats.ordered(block)[1])
         at = words.anchors(anchor)
-        keys = repeats.Keys.make(words.windows(at, anchor, BASES[0]))
+        keys = repeats.Keys.make(words.windows(at, anchor, 0))
         again = repeats.answered(answers, ANCHORS, len(keys.a)) & repeats.REPEATED
         candidate = words.around(at[again[keys.of] > 0], window)
         out = list(words.keys(np.flatnonzero(candidate), window).rows(number, buckets, WINDOWS))
@@ -138,7 +133,7 @@ def mark(docs: DataFrame, window: int = WINDOW):
 
 
 def removed_words(words: Words, answers: pa.Table, window: int) -> np.ndarray:
-    n = len(words.hash)
+    n = len(words)
     marks = [r["codes"] for r in answers.to_pylist() if r["kind"] == CANDIDATES]
     candidate = np.unpackbits(np.frombuffer(marks[0], np.uint8), count=n).astype(bool) if marks else np.zeros(n, bool)
     at = np.flatnonzero(candidate)

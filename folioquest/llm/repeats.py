@@ -78,6 +78,33 @@ def mix(a: np.ndarray, b: np.ndarray | None = None) -> np.ndarray:
     return x
 
 
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def word_hashes(texts: list[bytes], seeds: tuple[int, ...] = (1,)) -> tuple[list[np.ndarray], np.ndarray]:
+    """A 64-bit hash of each word for each seed, texts end to end, and the number of words of each text.
+
+    Words are found and hashed for all texts at once, eight bytes at a time.
+    """
+    data = b"\n".join(texts) + bytes(8)
+    buf = np.frombuffer(data, np.uint8)[: len(data) - 8]
+    space = (buf == 32) | (buf - np.uint8(9) <= 4)
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
+    start, end = edges[::2], edges[1::2]
+    length = end - start
+    eight = np.lib.stride_tricks.as_strided(np.frombuffer(data, np.uint8)[:8].view("<u8"), (len(data) - 7,), (1,))
+    out = [mix(length.astype(np.uint64), np.full(len(start), seed, np.uint64)) for seed in seeds]
+    open_, at = np.arange(len(start)), 0
+    while len(open_):
+        part = eight[start[open_] + at] & _MASKS[np.minimum(length[open_] - at, 8)]
+        for h in out:
+            h[open_] = mix(h[open_], part)
+        at += 8
+        open_ = open_[length[open_] > at]
+    begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+    return out, np.diff(np.searchsorted(start, begins))
+
+
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Ranges of the keys' upper halves: sorted keys have sorted buckets."""
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)

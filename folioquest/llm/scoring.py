@@ -31,7 +31,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioquest.llm import common, repeats
-from folioquest.llm.cover import parts_of
 
 PROBES, BITS = 12, 64
 BUCKET_BYTES = 8 << 20
@@ -52,26 +51,8 @@ ANSWERS = "block int, bucket int, kind int, levels binary, counts binary, total
 ANSWERS_ARROW = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("levels", pa.binary()), ("counts", pa.binary()), *[(c, pa.int64()) for c in ("total", "distinct", "once")], ("mass", pa.float64()), ("filled", pa.int64()), ("bits", pa.int64())])
 
 
-class Vocabulary:
-    """Distinct words with their hashes, and texts as places in them."""
-
-    def __init__(self):
-        self.place: dict[bytes, int] = {b"": 0}
-
-    def add(self, data: bytes) -> np.ndarray:
-        """The places of a text's words, and of its end."""
-        place, out = self.place, []
-        for words in parts_of(data.lower()):
-            for w in dict.fromkeys(words):
-                if w not in place:
-                    place[w] = len(place)
-            out.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
-        return np.concatenate([*out, np.zeros(1, np.int64)])
-
-    def hashes(self) -> np.ndarray:
-        import xxhash
-
-        return np.fromiter(map(xxhash.xxh64_intdigest, self.place), np.uint64, len(self.place))
+#: The hash of a text's end.
+END = np.uint64(0x8A5CD789635D2DFF)
 
 
 class Tokens:
@@ -79,15 +60,15 @@ class Tokens:
 
     def __init__(self, rows: pa.Table):
         self.rows, texts = repeats.ordered(rows)
-        vocabulary = Vocabulary()
-        places = [vocabulary.add(t) for t in texts]
-        self.sizes = np.array([len(p) for p in places], np.int64)
-        hashes, own = vocabulary.hashes(), np.concatenate(places)
-        self.words, of = np.unique(hashes, return_inverse=True)
-        self.word_of = of[own]
-        before = np.append(0, own[:-1])
-        self.before = of[before]
-        self.pairs, self.pair_of = np.unique(repeats.mix(hashes[before], hashes[own]), return_inverse=True)
+        (hashes,), n = repeats.word_hashes([t.lower() for t in texts])
+        self.sizes = n + 1
+        own = np.full(len(hashes) + len(n), END)
+        own[np.arange(len(hashes)) + np.repeat(np.arange(len(n)), n)] = hashes
+        before = np.append(END, own[:-1])
+        self.words, self.word_of = np.unique(own, return_inverse=True)
+        # the first token follows the end before it, which is a word of its own
+        self.before = np.append(self.word_of[-1:], self.word_of[:-1])
+        self.pairs, self.pair_of = np.unique(repeats.mix(before, own), return_inverse=True)
 
     def counts(self, of: np.ndarray, n: int, trains: np.ndarray) -> np.ndarray:
         return np.bincount(of[np.repeat(trains, self.sizes)], minlength=n)

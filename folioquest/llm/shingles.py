@@ -34,27 +34,24 @@ MOST_WORDS = 1 << 20
 BATCH = 1 << 18
 
 
-class Shingler:
-    """Texts to their distinct shingles, as sorted 64-bit hashes. A word is hashed once a task."""
-
-    def __init__(self):
-        self.hash_of: dict[bytes, int] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        import xxhash
-
-        words, known = text.encode().lower().split(), self.hash_of
-        if len(known) > MOST_WORDS:
-            known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w, 42)
-        own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        n = max(min(1, len(own)), len(own) - SHINGLE + 1)
-        out = own[:n]
-        for k in range(1, min(SHINGLE, len(own))):
-            out = repeats.mix(out, own[k : k + n])
-        return np.unique(out)
+def shingled(texts: list[str]) -> list[np.ndarray]:
+    """Each text's distinct shingles, as sorted 64-bit hashes."""
+    (hashes,), sizes = repeats.word_hashes([t.encode().lower() for t in texts])
+    # hashes of as many words as a shingle has; those that reach into the next text aren't used
+    long = hashes
+    for k in range(1, SHINGLE):
+        long = repeats.mix(long[: max(0, len(hashes) - k)], hashes[k:])
+    out, at = [], 0
+    for n in sizes.tolist():
+        if n >= SHINGLE:
+            out.append(np.unique(long[at : at + n - SHINGLE + 1]))
+        else:
+            own = hashes[at : at + min(n, 1)]
+            for k in range(1, n):
+                own = repeats.mix(own, hashes[at + k : at + k + 1])
+            out.append(own)
+        at += n
+    return out
 
 
 def _range_of(shingles: np.ndarray) -> np.ndarray:
@@ -66,16 +63,11 @@ def rarity(docs: DataFrame) -> np.ndarray:
     width = (1 << COUNTER_BITS) // COUNTER_RANGES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(), np.zeros(1 << COUNTER_BITS, np.int64)
-        held: list[np.ndarray] = []
+        counts = np.zeros(1 << COUNTER_BITS, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.append(shingler(text))
-                if len(held) >= 2048:
-                    counts += np.bincount(_range_of(np.concatenate(held)), minlength=len(counts))
-                    held = []
-        if held:
-            counts += np.bincount(_range_of(np.concatenate(held)), minlength=len(counts))
+            for lo in range(0, batch.num_rows, 1024):
+                found = np.concatenate(shingled(batch.slice(lo, 1024).column("text").to_pylist()))
+                counts += np.bincount(_range_of(found), minlength=len(counts))
         parts = np.minimum(counts, 0xFFFFFFFF).astype("<u4").reshape(COUNTER_RANGES, width)
         yield pa.RecordBatch.from_arrays([pa.array(range(COUNTER_RANGES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "n"])
 
@@ -115,19 +107,23 @@ def described(docs: DataFrame) -> DataFrame:
     """doc_id, h (hash of the text), s (hash of the set), size, prefix and fingerprint (f0, f1) of every row."""
     import xxhash
 
-    counts = docs.sparkSession.sparkContext.broadcast(rarity(docs))
+    counts = docs.sparkSession.sparkContext.broadcast(rarity(docs))  # 4 MB
+    names = ("doc_id", "h", "s", "size", "prefix", "f0", "f1")
+    signed = lambda x: x - (x >> 63 << 64)
 
-    def make():
-        shingler = Shingler()
-
-        def row(doc_id, text):
-            own, h = shingler(text), xxhash.xxh64_intdigest(text.encode(), 42)
-            s = xxhash.xxh64_intdigest(own.tobytes(), 42)
-            return doc_id, h - (h >> 63 << 64), s - (s >> 63 << 64), len(own), prefix(own, counts.value).tobytes(), *fingerprint(own)
-
-        return row
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                texts = part.column("text").to_pylist()
+                sets = shingled(texts)
+                h = [signed(xxhash.xxh64_intdigest(t.encode(), 42)) for t in texts]
+                s = [signed(xxhash.xxh64_intdigest(x.tobytes(), 42)) for x in sets]
+                prints = np.array([fingerprint(x) for x in sets], np.int64).reshape(-1, 2)
+                cols = [part.column("doc_id"), pa.array(h, pa.int64()), pa.array(s, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array([prefix(x, counts.value).tobytes() for x in sets], pa.binary()), pa.array(prints[:, 0]), pa.array(prints[:, 1])]
+                yield pa.RecordBatch.from_arrays(cols, names=list(names))
 
-    return common.row_map(docs, make, "doc_id long, h long, s long, size long, prefix binary, f0 long, f1 long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, h long, s long, size long, prefix binary, f0 long, f1 long")
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +257,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        shingler, bits = Shingler(), shared.value
+        bits = shared.value
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part, rows = batch.slice(lo, 1024), []
@@ -269,8 +265,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     h = xxhash.xxh64_intdigest(text.encode(), 42)
                     at = h & (1 << MARK_BITS) - 1
                     if bits[at >> 3] >> (at & 7) & 1:
-                        rows.append((doc_id, h - (h >> 63 << 64), shingler(text).tobytes()))
-                cols = list(zip(*rows, strict=True)) or [[]] * 3
+                        rows.append((doc_id, h - (h >> 63 << 64), text))
+                sets = shingled([t for _, _, t in rows])
+                cols = [[i for i, _, _ in rows], [h for _, h, _ in rows], [x.tobytes() for x in sets]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "h", "set"])
 
     found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, h long, set binary")

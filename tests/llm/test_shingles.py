@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -10,7 +11,7 @@ from tests.llm.conftest import SCHEMA, extras_unchanged, words
 
 
 def brute_set(text):
-    own = (text or "").lower().split()
+    own = (text or "").encode().lower().split()
     return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
 
 
@@ -89,14 +90,13 @@ def test_empty_and_clashing_tables(empty, clashing):
 def test_similar_sets_are_within_the_radius():
     """Pairs at the edge of 0.8 differ in far fewer bits than the radius, unrelated ones in more."""
     rng = random.Random(13)
-    make = shingles.Shingler()
     for n in (9, 24, 100, 400):
         far = 0
         for _ in range(60):
             base = words(rng, n, 50_000)
             own = base.split()
             near = " ".join([*own[: len(own) - n // 10], *words(rng, n // 10, 50_000).split()])
-            a, b, c = (make(t) for t in (base, near, words(rng, n, 50_000)))
+            a, b, c = shingles.shingled([base, near, words(rng, n, 50_000)])
             f, g, h = (shingles.fingerprint(x) for x in (a, b, c))
             bits = lambda x, y: sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x, y, strict=True))
             assert not shingles.similar(a, b) or bits(f, g) <= 45
@@ -104,6 +104,16 @@ def test_similar_sets_are_within_the_radius():
         assert far > 48
 
 
+def test_sets_against_brute_force():
+    rng = random.Random(15)
+    texts = [rng.choice(["", " ", "\t"]).join(words(rng, rng.randrange(0, 14), 6)) if k % 9 == 0 else words(rng, rng.randrange(0, 14), 4) for k in range(120)] + ["", " \n", "é ß É", "longer-than-eight-bytes " * 7, "A b C d E", "a B c D e"]
+    sets, want = shingles.shingled(texts), [brute_set(t) for t in texts]
+    assert [len(s) for s in sets] == [len(w) for w in want]
+    for a, x in zip(sets, want, strict=True):
+        for b, y in zip(sets, want, strict=True):
+            assert len(np.intersect1d(a, b)) == len(x & y)
+
+
 def test_a_very_long_text_and_its_near_copy(spark):
     rng = random.Random(14)
     long = words(rng, 60_000, 40_000)
