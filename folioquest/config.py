@@ -5,8 +5,6 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, fields, replace
 
-from folioquest.functions import fixed
-
 
 @dataclass(frozen=True)
 class Config:
@@ -25,15 +23,21 @@ class Config:
     slicer_model: str = "offline"
     topic_model: str = "offline"
     embedding_model: str = "hashing"
+    #: Where models other than the offline ones are asked, and the variable that holds the key.
+    chat_url: str = ""
+    embedding_url: str = ""
+    key_variable: str = "API_KEY"
     balance_per_document: bool = True
     balance_true_false: bool = True
     related_cut: float = 0.5
     related_chunks: int = 3
-    chunk_quality_patterns: tuple[str, ...] = fixed.CHUNK_PATTERNS
+    #: Related leaves by an index, for more leaves than can all be compared with each other.
+    related_index: bool = False
     seed: int = 0
     output_path: str = "dataset.json"
     log_path: str = "pipeline.log"
-    tree_path: str = "tree/topic_tree.json"
+    #: A table; one nested file if it ends in .json.
+    tree_path: str = "tree/topic_tree"
     parsed_path: str = "tree/parsed"
     slicer_cache_dir: str = "tree/sliced"
 
@@ -53,7 +57,7 @@ def from_env(env: dict[str, str] | None = None, **overrides) -> Config:
     base, found = Config(), {}
     for f in fields(Config):
         kind = type(getattr(base, f.name))
-        if kind is not tuple and (value := env.get(f.name.upper())) is not None:
+        if (value := env.get(f.name.upper())) is not None:
             found[f.name] = _typed(value, kind)
     return replace(base, **found | {k: v for k, v in overrides.items() if v is not None})
 

@@ -107,6 +107,15 @@ class HttpChat:
             return json.load(answer)["choices"][0]["message"]["content"]
 
 
+def chat_of(model: str, url: str = "", key_variable: str = "API_KEY") -> ChatProvider:
+    """The provider of a model's name: ``offline``, or a model behind a chat endpoint."""
+    if model == "offline":
+        return OfflineChat()
+    if not url:
+        raise ValueError(f"the model {model} needs chat_url, the address of a chat endpoint")
+    return HttpChat(url, model, key_variable)
+
+
 def attempt(provider: ChatProvider, request: Request, retries: int, sleep=time.sleep) -> str | None:
     """The answer, or None after so many failures; waits 1, 2, 4, ... and at most 16 seconds between them."""
     for k in range(max(1, retries)):
@@ -150,3 +159,27 @@ class HashingEmbedder:
             if norm:
                 row /= norm
         return out
+
+
+@dataclass(frozen=True)
+class HttpEmbedder:
+    """An endpoint that takes ``model`` and ``input`` (texts) as JSON and answers with ``data``, each with its ``embedding``, in order."""
+
+    url: str
+    model: str
+    key_variable: str
+    timeout: float = 120
+
+    def embed(self, texts: list[str]) -> np.ndarray:
+        call = urllib.request.Request(self.url, json.dumps({"model": self.model, "input": texts}).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {os.environ[self.key_variable]}"})
+        with urllib.request.urlopen(call, timeout=self.timeout) as answer:
+            return np.array([x["embedding"] for x in json.load(answer)["data"]], np.float32)
+
+
+def embedder_of(model: str, url: str = "", key_variable: str = "API_KEY") -> EmbeddingProvider:
+    """The provider of a model's name: ``hashing``, or a model behind an endpoint."""
+    if model == "hashing":
+        return HashingEmbedder()
+    if not url:
+        raise ValueError(f"the model {model} needs embedding_url, the address of an endpoint for embeddings")
+    return HttpEmbedder(url, model, key_variable)

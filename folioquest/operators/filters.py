@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections import deque
 from functools import reduce
+from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,10 +27,23 @@ def _literals(terms: tuple[str, ...]) -> Column:
     return F.array(*map(F.lit, terms)).cast("array<string>")
 
 
+def any_of(terms: list[str]) -> str:
+    """A pattern for any of the terms, which shares their beginnings: one walk over a text tells whether it has any."""
+    out = []
+    for first, group in groupby(sorted(set(terms)), key=lambda t: t[:1]):
+        rests = [t[1:] for t in group]
+        # a term that ends here makes the longer ones needless
+        out.append(re.escape(first) + ("" if "" in rests else any_of(rests)))
+    return out[0] if len(out) == 1 else f"(?:{'|'.join(out)})"
+
+
 def terms_in(content: Column, patterns: tuple[str, ...] | None = None) -> Column:
     """The terms of each list that a text contains. A document's are looked up once, and then only those in its pieces."""
-    present = lambda lower: F.struct(*[F.filter(_literals(t), lambda x: F.contains(lower, x)).alias(name) for name, t in _term_lists(patterns).items()])
-    return text.let(F.lower(content), present)
+    lists = _term_lists(patterns)
+    every = [t for terms in lists.values() for t in terms if t]
+    present = lambda lower: F.struct(*[F.filter(_literals(t), lambda x: F.contains(lower, x)).alias(name) for name, t in lists.items()])
+    none = F.struct(*[_literals(tuple(x for x in t if not x)).alias(name) for name, t in lists.items()])
+    return text.let(F.lower(content), lambda lower: F.when(lower.rlike(any_of(every)), present(lower)).otherwise(none) if every else none)
 
 
 def quality_reasons(content: Column, patterns: tuple[str, ...] | None = None, terms: Column | None = None) -> Column:
@@ -103,3 +120,34 @@ def first_of_each_question(questions: DataFrame, column: str, order: str) -> Dat
     """The first row of each normalised question: aggregated before it is shuffled, so a question that all ask is no hot key."""
     keyed = questions.withColumn("norm", normal_question(F.col(column)))
     return keyed.groupBy("norm").agg(F.min_by(F.struct(*questions.columns), order).alias("r")).select("r.*", "norm")
+
+
+#: How many accepted questions a new one is compared with, and which of them: about as long, with over 0.9 of its words.
+RECENT, LENGTH_APART, SAME_WORDS = 20, 0.3, 0.9
+
+
+def new_questions(norms: list[str]) -> list[bool]:
+    """Fold in order: a question stays unless it is one that stayed, or nearly one of the last ``RECENT`` that did."""
+    seen: set[str] = set()
+    recent: deque[tuple[int, frozenset[str]]] = deque(maxlen=RECENT)
+    out = []
+    for own in norms:
+        words = frozenset(own.split())
+        near = (w for n, w in recent if abs(n - len(own)) <= LENGTH_APART * len(own))
+        new = own not in seen and not any(len(words & w) / max(len(words), 1) > SAME_WORDS for w in near)
+        out.append(new)
+        if new:
+            seen.add(own)
+            recent.append((len(own), words))
+    return out
+
+
+def accepted_questions(questions: DataFrame, column: str, order: str, key: str) -> DataFrame:
+    """The questions that stay, with ``norm``, folded in order within each key: what stays depends on what stayed before, so a key's questions are one task's."""
+    keyed = questions.withColumn("norm", normal_question(F.col(column)))
+
+    def fold(table: pa.Table) -> pa.Table:
+        table = table.sort_by(order)
+        return table.filter(pa.array(new_questions([n or "" for n in table.column("norm").to_pylist()]), pa.bool_()))
+
+    return keyed.groupBy(key).applyInArrow(fold, keyed.schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioquest.functions import storage
@@ -21,3 +21,17 @@ def dense_ids(df: DataFrame, order: list[str], name: str, partitions: int | None
         before += n
     starts = F.create_map(*[F.lit(x) for kv in first.items() for x in kv])[part] if first else F.lit(0)
     return rows.withColumn(name, (starts + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")).drop("__at")
+
+
+def first_numbers(counts: DataFrame, key: str, n: str, name: str, partitions: int | None = None) -> DataFrame:
+    """Adds how many rows all keys before a key have together, for rows with a distinct key and a count. Only these rows are stored and dealt by range."""
+    dealt = counts.repartitionByRange(partitions, key) if partitions else counts.repartitionByRange(key)
+    rows = storage.checkpoint(dealt).withColumn("__part", F.spark_partition_id())
+    sums = sorted(rows.groupBy("__part").agg(F.sum(n).alias("n")).collect())  # one row a partition
+    first, before = {}, 0
+    for p, m in sums:
+        first[p] = before
+        before += m
+    starts = F.create_map(*[F.lit(x) for kv in first.items() for x in kv])[F.col("__part")] if first else F.lit(0)
+    upto = F.sum(n).over(Window.partitionBy("__part").orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn(name, (starts + upto - F.col(n)).cast("long")).drop("__part")

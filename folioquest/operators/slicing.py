@@ -1,7 +1,8 @@
 """Documents to segments and topic trees by a chat provider.
 
-Calls run on the executors, one row a piece or a document. Answers are kept by the hash of what was asked, in a table
-that later runs read first, so an edited text or a changed target is asked anew and a repeated task isn't.
+Calls run on the executors, one row a piece or a document. With a cache folder, both kinds of answers are kept by the hash of
+what was asked, in a table that later runs read first, so an edited text or a changed target is asked anew and a
+repeated task isn't. Calls that failed aren't kept.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioquest.functions import fixed, text
+from folioquest.functions import fixed, storage, text
 from folioquest.functions.providers import ChatProvider, Request, attempt, parse_json
 from folioquest.operators import similarity, splitting
 
@@ -40,17 +41,21 @@ def accepted_segments(answer: str | None, piece: str) -> list[tuple[int, str, st
 
 def slice_documents(docs: DataFrame, provider: ChatProvider, retries: int = 3, size: int = 12_000, overlap: int = 500, cache: str | None = None) -> DataFrame:
     """doc_id, source, seg_no, seg_id, title, content, content_type. Segments are numbered before near-duplicates go, so numbers have gaps; a document without any is one segment."""
-    pieces = splitting.slices(docs.select("doc_id", "source", "content"), size, overlap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("piece_no", pa.int32()), ("pos", pa.int32()), ("title", pa.string()), ("content", pa.string()), ("failed", pa.bool_())])
         for batch in batches:
             rows = []
             for doc_id, source, piece_no, piece in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "source", "piece_no", "piece")), strict=True):
                 answer = attempt(provider, Request("slice", SLICE_SYSTEM, piece, {"text": piece}, 0.1, 4096), retries)
-                rows += [{"doc_id": doc_id, "source": source, "piece_no": piece_no, "pos": k, "title": t, "content": c} for k, t, c in accepted_segments(answer, piece)]
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("piece_no", pa.int32()), ("pos", pa.int32()), ("title", pa.string()), ("content", pa.string())]))
+                rows += [{"doc_id": doc_id, "source": source, "piece_no": piece_no, "pos": k, "title": t, "content": c, "failed": answer is None} for k, t, c in accepted_segments(answer, piece)]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    found = cached(docs.select("doc_id", "source", "content"), cache, f"slice {size} {overlap}", lambda new: splitting.slices(new, size, overlap).select("doc_id", "source", "piece_no", "piece").mapInArrow(run, SEGMENTS)) if cache else pieces.select("doc_id", "source", "piece_no", "piece").mapInArrow(run, SEGMENTS)
+    texts = docs.select("doc_id", "source", "content")
+    model = F.lit(f"slice {size} {overlap} {getattr(provider, 'model', type(provider).__name__)}")
+    asked = texts.select("doc_id", F.sha2(F.concat_ws("\x1f", model, "source", "content"), 256).alias("ask"))
+    ask = lambda ids: splitting.slices(texts if ids is None else texts.join(ids, "doc_id", "left_semi"), size, overlap).select("doc_id", "source", "piece_no", "piece").mapInArrow(run, SEGMENTS + ", failed boolean")
+    found = storage.remembered(asked, cache, ask).select("doc_id", "source", "piece_no", "pos", "title", "content")
 
     def number(table):
         table = table.sort_by([("piece_no", "ascending"), ("pos", "ascending")])
@@ -63,20 +68,15 @@ def slice_documents(docs: DataFrame, provider: ChatProvider, retries: int = 3, s
     return both.select("doc_id", "source", "seg_no", F.format_string("seg_%03d", "seg_no").alias("seg_id"), F.when(F.col("title") == "", F.concat(F.lit("Segment "), (F.col("seg_no") + 1).cast("string"))).otherwise(F.col("title")).alias("title"), "content", F.lit("body").alias("content_type"))
 
 
-def cached(docs: DataFrame, folder: str, params: str, make) -> DataFrame:
-    """``make`` of the documents that the table in ``folder`` hasn't seen with these contents and parameters; the rest comes from it."""
-    spark = docs.sparkSession
-    keyed = docs.withColumn("ask", F.sha2(F.concat_ws("\x1f", F.lit(params), "source", "content"), 256))
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        seen = spark.read.parquet(folder).select("ask").distinct()
-        new = keyed.join(seen, "ask", "left_anti")
-    else:
-        new = keyed
-    made = make(new.drop("ask")).join(new.select("doc_id", "ask"), "doc_id")
-    made.drop("doc_id").write.mode("append").parquet(folder)
-    stored = spark.read.parquet(folder).dropDuplicates(["ask", "piece_no", "pos"])
-    return keyed.select("doc_id", "ask").join(stored, "ask").drop("ask").select("doc_id", "source", "piece_no", "pos", "title", "content")
+def contents_of(listed: DataFrame, segments: DataFrame) -> DataFrame:
+    """topic, n_segments, content: the contents of the segments (seg_id, content) that a topic lists (topic, pos, seg_id), in its order; unknown ids are left out."""
+    found = listed.join(segments.select("seg_id", "content"), "seg_id").groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("pos", "content"))).alias("c"), F.count("*").alias("n_segments"))
+    return found.select("topic", "n_segments", F.array_join(F.col("c.content"), "\n\n").alias("content"))
+
+
+def left_over(listed: DataFrame, segments: DataFrame) -> DataFrame:
+    """The segments that no topic lists."""
+    return segments.join(listed.select("seg_id"), "seg_id", "left_anti")
 
 
 def listing(segments: list[dict]) -> str:
@@ -163,10 +163,10 @@ def numbered(root: Tree) -> list[dict]:
 
 TOPIC_NODES = "doc_id long, source string, idx int, parent_idx int, ancestors array<struct<idx:int,name:string>>, name string, content string, depth int, level int, is_leaf boolean, used_topics boolean"
 _STEP = pa.struct([("idx", pa.int32()), ("name", pa.string())])
-_NODES_ARROW = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("idx", pa.int32()), ("parent_idx", pa.int32()), ("ancestors", pa.list_(_STEP)), ("name", pa.string()), ("content", pa.string()), ("depth", pa.int32()), ("level", pa.int32()), ("is_leaf", pa.bool_()), ("used_topics", pa.bool_())])
+_NODES_ARROW = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("idx", pa.int32()), ("parent_idx", pa.int32()), ("ancestors", pa.list_(_STEP)), ("name", pa.string()), ("content", pa.string()), ("depth", pa.int32()), ("level", pa.int32()), ("is_leaf", pa.bool_()), ("used_topics", pa.bool_()), ("failed", pa.bool_())])
 
 
-def topic_nodes(segments: DataFrame, provider: ChatProvider, retries: int = 3, share: int | None = None) -> DataFrame:
+def topic_nodes(segments: DataFrame, provider: ChatProvider, retries: int = 3, share: int | None = None, cache: str | None = None) -> DataFrame:
     """The topic tree of every document as rows in the form of ``tree``; calls are made where a document's segments are gathered. ``share``: questions a document is to get; half again as many leaves are asked for, three a segment at most, or one a segment without it."""
 
     def run(table):
@@ -182,7 +182,13 @@ def topic_nodes(segments: DataFrame, provider: ChatProvider, retries: int = 3, s
             return [x for x in value.get("assignments", []) if isinstance(x, dict)] if isinstance(value, dict) else []
 
         stem = source.rsplit(".", 1)[0] if "." in source[1:] else source
-        root, used = topic_tree(attempt(provider, request, retries), stem, own, assign)
-        return pa.Table.from_pylist([{"doc_id": doc_id, "source": source, "used_topics": used, **x} for x in numbered(root)], schema=_NODES_ARROW)
-
-    return segments.select("doc_id", "source", "seg_no", "seg_id", "title", "content").groupBy("doc_id").applyInArrow(run, TOPIC_NODES)
+        answer = attempt(provider, request, retries)
+        root, used = topic_tree(answer, stem, own, assign)
+        return pa.Table.from_pylist([{"doc_id": doc_id, "source": source, "used_topics": used, "failed": answer is None, **x} for x in numbered(root)], schema=_NODES_ARROW)
+
+    rows = segments.select("doc_id", "source", "seg_no", "seg_id", "title", "content")
+    model = F.lit(f"topics {share} {getattr(provider, 'model', type(provider).__name__)}")
+    parts = F.array_sort(F.collect_list(F.struct("seg_no", "seg_id", "title", "content")))
+    asked = rows.groupBy("doc_id", "source").agg(parts.alias("s")).select("doc_id", F.sha2(F.concat_ws("\x1f", model, "source", F.to_json("s")), 256).alias("ask"))
+    ask = lambda ids: (rows if ids is None else rows.join(ids, "doc_id", "left_semi")).groupBy("doc_id").applyInArrow(run, TOPIC_NODES + ", failed boolean")
+    return storage.remembered(asked, cache, ask)

@@ -15,9 +15,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioquest.functions import storage
+from folioquest.operators import filters, ordering
+
 PIECES = "array<struct<start:int,end:int,content:string>>"
 
 
@@ -55,15 +58,20 @@ def pieces_of(text: str, kind: str, size: int, overlap: int, tail: str) -> list[
     return walk(text, size, overlap, cut, kind != "leaf" and tail == "reference")
 
 
-def split(df: DataFrame, column: str, kind: str, size: int, overlap: int, tail: str = "reference") -> DataFrame:
-    """A row for each piece: the other columns, piece_no from 0, start_pos, end_pos, piece."""
+def pieces(column: str, kind: str, size: int, overlap: int, tail: str = "reference") -> Column:
+    """A text's pieces as an array."""
 
     @F.pandas_udf(PIECES)
     def cut(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: [] if t is None else [{"start": a, "end": b, "content": c} for a, b, c in pieces_of(t, kind, size, overlap, tail)])
 
+    return cut(column)
+
+
+def split(df: DataFrame, column: str, kind: str, size: int, overlap: int, tail: str = "reference") -> DataFrame:
+    """A row for each piece: the other columns, piece_no from 0, start_pos, end_pos, piece."""
     rest = [c for c in df.columns if c != column]
-    rows = df.select(*rest, F.posexplode(cut(column)).alias("piece_no", "p"))
+    rows = df.select(*rest, F.posexplode(pieces(column, kind, size, overlap, tail)).alias("piece_no", "p"))
     return rows.select(*rest, "piece_no", F.col("p.start").alias("start_pos"), F.col("p.end").alias("end_pos"), F.col("p.content").alias("piece"))
 
 
@@ -71,6 +79,22 @@ def document_chunks(docs: DataFrame, size: int = 1000, overlap: int = 200, tail:
     return split(docs, "content", "document", size, overlap, tail)
 
 
+def numbered_chunks(docs: DataFrame, size: int = 1000, overlap: int = 200, tail: str = "reference", patterns: tuple[str, ...] | None = None) -> DataFrame:
+    """chunk_id, doc_id, start_pos, end_pos, piece: pieces that pass the quality rules, numbered from 0 over all documents (with distinct ids) in order.
+
+    A first pass notes which pieces of a document are good, and how many; that alone is stored, numbered by running sums,
+    and joined to the documents, which are split again. No piece is stored or dealt by its place.
+    """
+    own = docs.select("doc_id", "content")
+    split_up = own.withColumn("terms", filters.terms_in(F.col("content"), patterns)).select("doc_id", "terms", pieces("content", "document", size, overlap, tail).alias("p"))
+    passes = lambda k: filters.quality_reasons(F.col("p")[k]["content"], patterns, F.col("terms")).isNull()
+    good = split_up.select("doc_id", F.filter(F.when(F.size("p") > 0, F.sequence(F.lit(0), F.size("p") - 1)), passes).alias("good")).where(F.size("good") > 0)
+    firsts = ordering.first_numbers(storage.checkpoint(good).withColumn("n", F.size("good").cast("long")), "doc_id", "n", "first").drop("n")
+    again = own.join(firsts, "doc_id").select("doc_id", "first", "good", pieces("content", "document", size, overlap, tail).alias("p"))
+    chosen = again.select("doc_id", "first", F.posexplode(F.transform("good", lambda k: F.col("p")[k])).alias("at", "c"))
+    return chosen.select((F.col("first") + F.col("at")).alias("chunk_id"), "doc_id", F.col("c.start").alias("start_pos"), F.col("c.end").alias("end_pos"), F.col("c.content").alias("piece"))
+
+
 def leaf_chunks(leaves: DataFrame, size: int = 500, overlap: int = 100) -> DataFrame:
     """Pieces of every leaf that has content."""
     return split(leaves.where(F.length("content") > 0), "content", "leaf", size, overlap)

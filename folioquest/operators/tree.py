@@ -32,9 +32,11 @@ def heading_nodes(docs: DataFrame) -> DataFrame:
     # without headings the whole text is one node, as if a heading named like the file stood before it
     whole = F.array(F.struct(F.lit(-1).alias("line"), F.lit("").alias("marks"), text.stem("source").alias("name")))
     found = found.withColumn("n_heads", F.size("heads")).withColumn("heads", F.when(F.size("heads") == 0, whole).otherwise(F.col("heads")))
-    each = found.select("doc_id", "source", "lines", "n_heads", "heads", F.posexplode("heads").alias("idx", "h"))
-    following = F.coalesce(F.try_element_at("heads", F.col("idx") + 2)["line"], F.size("lines"))
-    body = text.strip(F.array_join(F.slice("lines", F.col("h.line") + 2, following - F.col("h.line") - 1), "\n"))
+    # each heading takes its own lines along, so no row carries the whole document
+    following = lambda k: F.coalesce(F.try_element_at("heads", k + 2)["line"], F.size("lines"))
+    own = F.transform("heads", lambda h, k: F.struct(h["marks"].alias("marks"), h["name"].alias("name"), F.array_join(F.slice("lines", h["line"] + 2, following(k) - h["line"] - 1), "\n").alias("body")))
+    each = found.select("doc_id", "source", "n_heads", own.alias("own")).select("doc_id", "source", "n_heads", F.posexplode("own").alias("idx", "h"))
+    body = text.strip("h.body")
     flat = each.select("doc_id", "source", "idx", F.length("h.marks").alias("marks"), F.col("h.name").alias("name"), F.when(body != "", body).alias("content"), "n_heads")
     before = Window.partitionBy("doc_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     here = F.struct("idx", "name")
@@ -110,15 +112,26 @@ def subtree_totals(nodes: DataFrame) -> DataFrame:
     return each.groupBy("doc_id", "idx").agg(F.sum("chars").alias("total_chars"), F.count("*").alias("n_nodes"))
 
 
-def draw(nodes: DataFrame) -> str:
-    """The tree as text, for a person to look at; nodes come to the driver in order."""
-    rows = nodes.select("doc_id", "source", "idx", "parent_idx", "name", F.coalesce(F.length("content"), F.lit(0)).alias("chars"), "level").orderBy("doc_id", "idx").toLocalIterator()
+def forest(nodes: DataFrame) -> DataFrame:
+    """The nodes with what stands above them: one root, and a node for each document that has any (named like its file). kind (root, file or section), doc_id, source, idx (-1 for a file), parent_idx, name, content, depth (0 for root and files), level (sections begin at 2)."""
+    empty = F.lit(None).cast("string").alias("content")
+    sections = nodes.select(F.lit("section").alias("kind"), "doc_id", "source", "idx", F.coalesce("parent_idx", F.lit(-1)).alias("parent_idx"), "name", "content", "depth", (F.col("level") + 1).alias("level"))
+    files = nodes.select("doc_id", "source").distinct().select(F.lit("file").alias("kind"), "doc_id", "source", F.lit(-1).alias("idx"), F.lit(None).cast("int").alias("parent_idx"), F.col("source").alias("name"), empty, F.lit(0).alias("depth"), F.lit(1).alias("level"))
+    first = nodes.limit(1).select(F.lit("root").alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit("root").alias("source"), F.lit(None).cast("int").alias("idx"), F.lit(None).cast("int").alias("parent_idx"), F.lit(fixed.ROOT_NAME).alias("name"), empty, F.lit(0).alias("depth"), F.lit(0).alias("level"))
+    return first.unionByName(files).unionByName(sections)
+
+
+def draw(nodes: DataFrame, chunks: DataFrame | None = None) -> str:
+    """The tree as text, for a person to look at; nodes come to the driver in order. ``chunks``: how many (n) a node (doc_id, idx) has."""
+    shown = nodes.select("doc_id", "source", "idx", "parent_idx", "name", F.coalesce(F.length("content"), F.lit(0)).alias("chars"))
+    shown = shown.join(chunks.select("doc_id", "idx", "n"), ["doc_id", "idx"], "left") if chunks is not None else shown.withColumn("n", F.lit(0))
+    rows = shown.select("doc_id", "source", "idx", "parent_idx", "name", "chars", F.coalesce("n", F.lit(0)).alias("n")).orderBy("doc_id", "idx").toLocalIterator()
     by_doc: dict = {}
     for r in rows:
         by_doc.setdefault((r["doc_id"], r["source"]), []).append(r)
     if not by_doc:
         return "No tree built yet."
-    out, total, n_leaves = [fixed.ROOT_NAME], 0, 0
+    out, n_leaves, n_chunks = [f"└── {fixed.ROOT_NAME}"], 0, 0
     docs = list(by_doc.items())
     for d, ((_, source), own) in enumerate(docs):
         last_doc = d == len(docs) - 1
@@ -126,18 +139,18 @@ def draw(nodes: DataFrame) -> str:
         present = {r["idx"] for r in own}
         for r in own:
             children.setdefault(r["parent_idx"] if r["parent_idx"] in present else None, []).append(r)
-        chars = sum(r["chars"] for r in own)
-        total += chars
-        out.append(f"{'└── ' if last_doc else '├── '}[FILE] {source} ({chars} chars)")
+        out.append(f"    {'└── ' if last_doc else '├── '}[FILE] {source} — total: {sum(r['chars'] for r in own)} chars")
 
         def below(parent, lead):
-            nonlocal n_leaves
+            nonlocal n_leaves, n_chunks
             level = children.get(parent, [])
             for k, r in enumerate(level):
                 last = k == len(level) - 1
-                n_leaves += r["idx"] not in children
-                out.append(f"{lead}{'└── ' if last else '├── '}{r['name']}" + (f" ({r['chars']} chars)" if r["chars"] else ""))
+                if r["idx"] not in children:
+                    n_leaves += 1
+                    n_chunks += r["n"]
+                out.append(f"{lead}{'└── ' if last else '├── '}{r['name']}" + (f" ({r['chars']} chars)" if r["chars"] else "") + (f" [{r['n']} chunks]" if r["n"] else ""))
                 below(r["idx"], lead + ("    " if last else "│   "))
 
-        below(None, "    " if last_doc else "│   ")
-    return "\n".join([*out, f"{n_leaves} leaves, {total} chars"])
+        below(None, "        " if last_doc else "    │   ")
+    return "\n".join([*out, f"Leaf nodes: {n_leaves}", f"Total chunks: {n_chunks}"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioquest.functions import fixed, text
-from folioquest.operators import filters, ordering, quota, splitting
+from folioquest.operators import filters, quota, splitting
 from folioquest.plans.tables import documents, table
 
 QUOTA_TARGET = 137
@@ -35,10 +35,7 @@ def leaf_chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces that pass the quality rules, numbered densely over all documents."""
-    docs = documents(spark, sf_dir).withColumn("terms", filters.terms_in(F.col("content")))
-    good = filters.good_chunks(splitting.document_chunks(docs), terms="terms")
-    numbered = ordering.dense_ids(good.select("doc_id", "start_pos", "end_pos", "piece"), ["doc_id", "start_pos"], "chunk_id")
-    return numbered.select("chunk_id", "doc_id", F.col("start_pos").cast("long").alias("start_pos"), F.col("end_pos").cast("long").alias("end_pos"), "piece")
+    return splitting.numbered_chunks(documents(spark, sf_dir)).select("chunk_id", "doc_id", F.col("start_pos").cast("long").alias("start_pos"), F.col("end_pos").cast("long").alias("end_pos"), "piece")
 
 
 def slice_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +43,8 @@ def slice_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", F.coalesce(filters.quality_reasons(F.col("content")), F.lit("good")).alias("reason"))
+    docs = documents(spark, sf_dir).withColumn("terms", filters.terms_in(F.col("content")))
+    return docs.select("doc_id", F.coalesce(filters.quality_reasons(F.col("content"), terms=F.col("terms")), F.lit("good")).alias("reason"))
 
 
 def front_matter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +68,13 @@ def question_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.first_of_each_question(questions(spark, sf_dir), "question", "q_id").select("q_id", "norm")
 
 
+def question_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions folded in order within 16 groups; in every other group the texts' first 60 characters, so that many are alike."""
+    asked = questions(spark, sf_dir).withColumn("part", F.pmod("q_id", F.lit(16)).cast("long"))
+    asked = asked.withColumn("question", F.when(F.col("part") % 2 == 0, F.substring("question", 1, 60)).otherwise(F.col("question")))
+    return filters.accepted_questions(asked, "question", "q_id", "part").select("part", "q_id", "norm")
+
+
 def round_robin_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quota.round_robin(_leaves(spark, sf_dir), QUOTA_TARGET).select("leaf_idx", "quota")
 
@@ -158,6 +163,7 @@ QUERIES = {
     "front_matter": front_matter,
     "generic_question": generic_question,
     "question_exact_dedup": question_exact_dedup,
+    "question_near_dedup": question_near_dedup,
     "round_robin_quota": round_robin_quota,
     "balanced_quota": balanced_quota,
     "leaf_types": leaf_types,
@@ -191,6 +197,16 @@ WITH {QUESTIONS_SQL} SELECT q_id, length(question) < 20
   OR (({" OR ".join(f"starts_with(lower(question), {quote(p)})" for p in fixed.GENERIC_PHRASES)}) AND length(question) < 50) AS is_generic,
   {_TRIM.format('question')} <> '' AS is_grounded FROM q""",
     "question_exact_dedup": f"WITH {QUESTIONS_SQL}, n AS (SELECT q_id, rtrim({_TRIM.format('lower(question)')}, '?') AS norm FROM q) SELECT min(q_id) AS q_id, norm FROM n GROUP BY norm",
+    "question_near_dedup": f"""
+WITH RECURSIVE {QUESTIONS_SQL},
+p AS (SELECT q_id, ((q_id % 16) + 16) % 16 AS part, question FROM q),
+n AS (SELECT part, q_id, rtrim({_TRIM.format('lower(CASE WHEN part % 2 = 0 THEN substr(question, 1, 60) ELSE question END)')}, '?') AS norm FROM p),
+c AS (SELECT part, q_id, norm, row_number() OVER (PARTITION BY part ORDER BY q_id) AS k, list_distinct(list_filter(regexp_split_to_array(norm, '[\\s]+'), lambda x: x <> '')) AS w FROM n),
+f AS (SELECT part, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS q_id, '' AS norm, false AS ok, CAST([] AS VARCHAR[]) AS seen, CAST([] AS STRUCT(n BIGINT, w VARCHAR[])[]) AS recent FROM c GROUP BY part
+  UNION ALL SELECT f.part, c.k, c.q_id, c.norm, x.ok, CASE WHEN x.ok THEN list_append(seen, c.norm) ELSE seen END, CASE WHEN x.ok THEN list_append(recent, {{'n': length(c.norm), 'w': c.w}})[-{filters.RECENT}:] ELSE recent END
+  FROM f JOIN c ON c.part = f.part AND c.k = f.k + 1,
+  LATERAL (SELECT NOT list_contains(seen, c.norm) AND len(list_filter(recent, lambda r: abs(r.n - length(c.norm)) <= {filters.LENGTH_APART}::DOUBLE * length(c.norm) AND len(list_intersect(c.w, r.w))::DOUBLE / greatest(len(c.w), 1) > {filters.SAME_WORDS}::DOUBLE)) = 0 AS ok) x)
+SELECT part, q_id, norm FROM f WHERE ok""",
     "round_robin_quota": f"WITH {_LEAVES}, r AS (SELECT leaf_idx, row_number() OVER (ORDER BY leaf_idx) - 1 AS r, count(*) OVER () AS k FROM v), q AS (SELECT leaf_idx, CAST({QUOTA_TARGET} // k + CAST(r < {QUOTA_TARGET} % k AS INT) AS BIGINT) AS quota FROM r) SELECT leaf_idx, quota FROM q WHERE quota > 0",
     "balanced_quota": f"WITH {_BALANCED} SELECT leaf_idx, source, quota FROM b",
     "source_summary": f"""

@@ -40,6 +40,12 @@ def subtree_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select("doc_id", F.col("idx").cast("long").alias("idx"), "total_chars", "n_nodes")
 
 
+def forest_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The root, the files and all headings."""
+    nodes = tree.forest(tree.heading_nodes(tables.documents_as_markdown(spark, sf_dir)))
+    return nodes.select("kind", F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), F.coalesce("idx", F.lit(-2)).cast("long").alias("idx"), F.coalesce("parent_idx", F.lit(-2)).cast("long").alias("parent_idx"), "name", F.col("depth").cast("long").alias("depth"), F.col("level").cast("long").alias("level"))
+
+
 def plain_documents_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without headings: each is one node named after its file, and a leaf if long enough."""
     docs = tables.documents(spark, sf_dir).withColumn("source", F.concat("source", F.lit(".txt")))
@@ -101,6 +107,7 @@ QUERIES = {
     "heading_leaves": heading_leaves,
     "survivors": survivors,
     "subtree_totals": subtree_totals,
+    "forest_nodes": forest_nodes,
     "plain_documents_tree": plain_documents_tree,
     "page_title_nodes": page_title_nodes,
     "file_nodes": file_nodes,
@@ -120,6 +127,11 @@ SELECT n.doc_id, n.idx, i.idx IS NULL AS is_leaf, coalesce(length(n.content), 0)
     "subtree_totals": f"""
 WITH {heads_sql(tables.DOCUMENTS_SQL)}, e AS (SELECT doc_id, unnest(list_append(anc, idx)) AS idx, coalesce(length(content), 0) AS chars FROM n)
 SELECT doc_id, idx, CAST(sum(chars) AS BIGINT) AS total_chars, count(*) AS n_nodes FROM e GROUP BY doc_id, idx""",
+    "forest_nodes": f"""
+WITH {heads_sql(tables.DOCUMENTS_SQL)}
+SELECT 'root' AS kind, CAST(-1 AS BIGINT) AS doc_id, CAST(-2 AS BIGINT) AS idx, CAST(-2 AS BIGINT) AS parent_idx, '{fixed.ROOT_NAME}' AS name, CAST(0 AS BIGINT) AS depth, CAST(0 AS BIGINT) AS level
+UNION ALL SELECT DISTINCT 'file', doc_id, -1, -2, source, 0, 1 FROM n
+UNION ALL SELECT 'section', doc_id, idx, CASE WHEN idx > 0 THEN anc[-1] ELSE -1 END, name, greatest(len(anc), 1), len(anc) + 2 FROM n""",
     "plain_documents_tree": f"SELECT doc_id, source AS name, length({_T('text')}) AS chars FROM documents WHERE length({_T('text')}) >= 50 AND NOT regexp_matches(source, {_SKIP})",
     "file_nodes": """
 WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'root' ELSE source END AS s, source || ['.PDF', '.md', '.txt', '.csv', ''][doc_id % 5 + 1] AS name FROM documents)

@@ -34,10 +34,16 @@ def knn_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nearest 3 K + 1 without the query itself, then the first K."""
+    """The K nearest besides the query itself and the one with the next id."""
     queries = _queries(spark, sf_dir)
-    near = similarity.top_matches(queries, _vectors(spark, sf_dir), 3 * K + 1, "l2").where("q_idx <> idx")
-    return _out(near.where(F.col("rank") <= K + 1))
+    left_out = queries.select("q_idx", F.explode(F.array("q_idx", F.col("q_idx") + 1)).alias("idx"))
+    return _out(similarity.top_matches(queries, _vectors(spark, sf_dir), K, "l2", excluded=left_out))
+
+
+def knn_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth vector's K nearest by an index over all; near, not exact."""
+    rows = _vectors(spark, sf_dir)
+    return _out(similarity.near_matches(_queries(spark, sf_dir), rows, K, similarity.Lists.fit(rows)))
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +57,8 @@ def knn_diverse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _related(spark: SparkSession, sf_dir: str, cut: float) -> DataFrame:
-    leaves = _vectors(spark, sf_dir).select(F.col("idx").alias("leaf_idx"), "embedding", F.col("label").cast("string").alias("source"), F.lit("x").alias("content"))
+    """Every seventh leaf has no content."""
+    leaves = _vectors(spark, sf_dir).select(F.col("idx").alias("leaf_idx"), "embedding", F.col("label").cast("string").alias("source"), F.when(F.col("idx") % 7 == 0, F.when(F.col("idx") % 2 == 0, "")).otherwise("x").alias("content"))
     return similarity.related_leaves(leaves, cut).select("leaf_idx", "related_idx", F.round("score", 4).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -77,11 +84,11 @@ def segment_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shares of words that a document has in common with the benchmark item of its number."""
-    a = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), text.word_set("text").alias("a"))
-    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), text.word_set("text").alias("b"))
+    """The shares of words that every document has in common with one item of the benchmark, dealt by its number."""
+    items = table(spark, sf_dir, "benchmark")
+    a = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), (F.col("doc_id") % max(1, items.count())).alias("item_id"), text.word_set("text").alias("a"))
     share = lambda by: F.round(text.overlap(F.col("a"), F.col("b"), by), 6)
-    return a.join(b, "id").select("id", share("candidate").alias("of_candidate"), share("larger").alias("of_larger"))
+    return a.join(items.select("item_id", text.word_set("text").alias("b")), "item_id").select("id", share("candidate").alias("of_candidate"), share("larger").alias("of_larger"))
 
 
 _DOT = "list_sum(list_transform(range(1, 65), lambda i: {a}.embedding[i]::DOUBLE * {b}.embedding[i]::DOUBLE))"
@@ -90,15 +97,15 @@ _COS = f"{_DOT.format(a='a', b='b')} / (sqrt({_DOT.format(a='a', b='a')}) * sqrt
 _SETS = "regexp_split_to_array(trim(lower({})), '\\s+')"
 
 
-def _knn(score: str, order: str, k: int, rows: str = "embeddings") -> str:
+def _knn(score: str, order: str, k: int, rows: str = "embeddings", more: str = "") -> str:
     return f"""
-s AS (SELECT a.vec_id AS q_idx, b.vec_id AS idx, {score} AS score FROM embeddings a, {rows} b WHERE a.vec_id % 20 = 0),
+s AS (SELECT a.vec_id AS q_idx, b.vec_id AS idx, {score} AS score FROM embeddings a, {rows} b WHERE a.vec_id % 20 = 0 {more}),
 r AS (SELECT *, row_number() OVER (PARTITION BY q_idx ORDER BY score {order}, idx) AS rank FROM s QUALIFY rank <= {k})"""
 
 
 def _related_sql(cut: float) -> str:
     return f"""
-WITH s AS (SELECT a.vec_id AS leaf_idx, b.vec_id AS related_idx, {_COS} AS score FROM embeddings a, embeddings b WHERE a.label <> b.label)
+WITH s AS (SELECT a.vec_id AS leaf_idx, b.vec_id AS related_idx, {_COS} AS score FROM embeddings a, embeddings b WHERE a.label <> b.label AND b.vec_id % 7 <> 0)
 SELECT leaf_idx, related_idx, round(score, 4) AS score, row_number() OVER (PARTITION BY leaf_idx ORDER BY score DESC, related_idx) AS rank FROM s WHERE score >= {cut} QUALIFY rank <= 3"""
 
 
@@ -106,6 +113,7 @@ QUERIES = {
     "knn_l2": knn_l2,
     "knn_ip": knn_ip,
     "knn_exclude": knn_exclude,
+    "knn_index": knn_index,
     "knn_diverse": knn_diverse,
     "related_leaves": related_leaves,
     "related_leaves_low_cut": related_leaves_low_cut,
@@ -117,7 +125,7 @@ QUERIES = {
 ORACLES = {
     "knn_l2": f"WITH {_knn(_L2.format(a='a', b='b'), 'ASC', K)} SELECT q_idx, idx, round(score, 4) AS score, rank FROM r",
     "knn_ip": f"WITH {_knn(_COS, 'DESC', K)} SELECT q_idx, idx, round(score, 4) AS score, rank FROM r",
-    "knn_exclude": f"WITH {_knn(_L2.format(a='a', b='b'), 'ASC', K + 1)} SELECT q_idx, idx, round(score, 4) AS score, rank FROM r WHERE q_idx <> idx",
+    "knn_exclude": f"WITH {_knn(_L2.format(a='a', b='b'), 'ASC', K, more='AND b.vec_id <> a.vec_id AND b.vec_id <> a.vec_id + 1')} SELECT q_idx, idx, round(score, 4) AS score, rank FROM r",
     "knn_diverse": f"""
 WITH RECURSIVE {_knn(_L2.format(a='a', b='b'), 'ASC', 3 * K, '(SELECT e.* FROM embeddings e JOIN documents ON doc_id = vec_id)')},
 c AS (SELECT q_idx, idx, score, rank, list_distinct({_SETS.format('text')}) AS w FROM r JOIN documents ON doc_id = idx),
@@ -136,6 +144,6 @@ f AS (SELECT conv_id, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS turn, false
   FROM f JOIN c ON c.conv_id = f.conv_id AND c.k = f.k + 1, LATERAL (SELECT len(list_filter(words, lambda x: len(list_intersect(c.w, x))::DOUBLE / greatest(len(c.w), len(x)) > 0.7)) = 0 AS ok) n)
 SELECT conv_id AS doc_id, turn AS seg_no FROM f WHERE ok""",
     "word_overlaps": f"""
-WITH p AS (SELECT doc_id AS id, list_distinct({_SETS.format('d.text')}) AS a, list_distinct({_SETS.format('b.text')}) AS b FROM documents d JOIN benchmark b ON doc_id = item_id)
+WITH p AS (SELECT doc_id AS id, list_distinct({_SETS.format('d.text')}) AS a, list_distinct({_SETS.format('b.text')}) AS b FROM documents d JOIN benchmark b ON doc_id % (SELECT count(*) FROM benchmark) = item_id)
 SELECT id, round(len(list_intersect(a, b))::DOUBLE / len(a), 6) AS of_candidate, round(len(list_intersect(a, b))::DOUBLE / greatest(len(a), len(b)), 6) AS of_larger FROM p""",
 }

@@ -8,11 +8,12 @@ import os
 import shutil
 from collections import Counter
 from collections.abc import Iterable
+from itertools import count, groupby
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioquest.functions import text
+from folioquest.functions import fixed, text
 
 ENTRY = "question string, answer string, contexts array<string>, ground_truth string, source string, metadata struct<type:string,difficulty:string,topic_path:array<string>,source:string>"
 
@@ -87,28 +88,71 @@ NODE_FIELDS = ("doc_id", "source", "idx", "parent_idx", "ancestors", "name", "co
 NODES = "doc_id long, source string, idx int, parent_idx int, ancestors array<struct<idx:int,name:string>>, name string, content string, depth int, level int, is_leaf boolean"
 
 
+def _nested(rows: list[dict]) -> list[dict]:
+    """A document's nodes as trees; a node whose parent isn't there stands at the top."""
+    made = {r["idx"]: {"name": r["name"], "source": r["source"], "depth": r["depth"], "content": r["content"], "chunks": [], "children": []} for r in rows}
+    tops = []
+    for r in rows:
+        (made[r["parent_idx"]]["children"] if r["parent_idx"] in made else tops).append(made[r["idx"]])
+    return tops
+
+
 def save_tree(nodes: DataFrame, path: str) -> None:
-    """Nodes as one JSON file, moved into place when whole; nothing is written without nodes."""
-    rows = [r.asDict(recursive=True) for r in nodes.select(*NODE_FIELDS).orderBy("doc_id", "idx").toLocalIterator()]
-    if not rows:
+    """Nodes as a table that all executors write, or with a path that ends in .json as one nested file: the root, a node for each file, and its sections; written document by document and moved into place when whole. Nothing is written without nodes."""
+    if nodes.isEmpty():
+        return
+    if not path.endswith(".json"):
+        nodes.select(*NODE_FIELDS).write.mode("overwrite").parquet(path)
         return
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     tmp = f"{path}.tmp"
+    rows = (r.asDict(recursive=True) for r in nodes.select(*NODE_FIELDS).orderBy("doc_id", "idx").toLocalIterator())
     try:
         with open(tmp, "w", encoding="utf-8") as f:
-            json.dump(rows, f, ensure_ascii=False, indent=1)
+            f.write(json.dumps({"name": fixed.ROOT_NAME, "source": "root", "depth": 0, "content": None, "chunks": []}, ensure_ascii=False)[:-1] + ', "children": [')
+            for k, (_, own) in enumerate(groupby(rows, key=lambda r: r["doc_id"])):
+                own = list(own)
+                file = {"name": own[0]["source"], "source": own[0]["source"], "depth": 0, "content": None, "chunks": [], "children": _nested(own)}
+                f.write((",\n" if k else "\n") + json.dumps(file, ensure_ascii=False, indent=2))
+            f.write("\n]}\n")
         os.replace(tmp, path)
     finally:
         if os.path.exists(tmp):
             os.remove(tmp)
 
 
+def _valid(node) -> bool:
+    return isinstance(node, dict) and isinstance(node.get("name"), str) and isinstance(node.get("source"), str) and isinstance(node.get("children", []), list) and all(map(_valid, node.get("children", [])))
+
+
 def load_tree(spark, path: str) -> DataFrame:
+    """The nodes of a saved tree. In a nested file the nodes below the root are files; one without children (a document that gave no tree) is its own only section."""
+    if not path.endswith(".json"):
+        return spark.read.parquet(path).select(*NODE_FIELDS)
     with open(path, encoding="utf-8") as f:
-        rows = json.load(f)
-    if not isinstance(rows, list) or any(set(NODE_FIELDS) - set(r) for r in rows):
+        root = json.load(f)
+    if not _valid(root):
         raise ValueError(f"{path} holds no tree")
-    return spark.createDataFrame([tuple(r[c] for c in NODE_FIELDS) for r in rows], NODES)
+    rows: list[tuple] = []
+    for doc_id, file in enumerate(root.get("children", [])):
+        number = count()
+
+        def visit(node: dict, above: list[dict], file=file, doc_id=doc_id, number=number) -> None:
+            idx, below = next(number), node.get("children", [])
+            rows.append((doc_id, file["source"], idx, above[-1]["idx"] if above else None, above, node["name"], node.get("content"), int(node.get("depth", 0)), len(above) + 1, not below))
+            for child in below:
+                visit(child, [*above, {"idx": idx, "name": node["name"]}])
+
+        for top in file.get("children", []) or [file]:
+            visit(top, [])
+    return spark.createDataFrame(rows, NODES)
+
+
+def tree_exists(spark, path: str) -> bool:
+    if path.endswith(".json"):
+        return os.path.exists(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def wipe(*paths: str) -> None:

@@ -1,6 +1,7 @@
 """Files, providers, slicing, generation, and whole runs."""
 
 import json
+import os
 
 import pytest
 
@@ -51,7 +52,69 @@ def test_pdf_reader_cache_and_errors(spark, folder, tmp_path):
     first = load(reader)
     assert first["p.pdf"]["content"] == "page one" and not first["p.pdf"]["metadata"]["cached"] and "no PDF" in first["q.pdf"]["error"]
     again = load(None)
-    assert again["p.pdf"]["metadata"]["cached"] and again["p.pdf"]["content"] == "page one" and "ImportError" in again["q.pdf"]["error"]
+    assert again["p.pdf"]["metadata"]["cached"] and again["p.pdf"]["content"] == "page one" and "not a PDF" in again["q.pdf"]["error"]
+
+
+def make_pdf(pages, packed=False, unicode_font=False):
+    """A file with a content stream for each page; ``packed``: page objects in an object stream; ``unicode_font``: codes of two bytes with a ToUnicode table."""
+    import zlib
+
+    def stream(data, head=b""):
+        z = zlib.compress(data)
+        return b"<</Filter /FlateDecode /Length %d %s>>\nstream\n%s\nendstream" % (len(z), head, z)
+
+    table = b"1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfrange <0000> <00FF> <0000> endbfrange"
+    font = b"<</Type /Font /Subtype /Type0 /ToUnicode 8 0 R>>" if unicode_font else b"<</Type /Font /Subtype /Type1 /Encoding <</Differences [128 /fi]>>>>"
+    objects = {1: b"<</Type /Catalog /Pages 2 0 R>>", 2: b"<</Type /Pages /Kids [%s] /MediaBox [0 0 600 800] /Resources <</Font <</F1 3 0 R>>>>>>" % b" ".join(b"%d 0 R" % (10 + 2 * k) for k in range(len(pages))), 3: font}
+    streams = {8: stream(table)}
+    for k, page in enumerate(pages):
+        objects[10 + 2 * k] = b"<</Type /Page /Parent 2 0 R /Contents %d 0 R>>" % (11 + 2 * k)
+        streams[11 + 2 * k] = stream(page)
+    if packed:
+        bodies = [b"%d %s" % (n, o) for n, o in objects.items()]
+        index, body = b"", b""
+        for n, o in objects.items():
+            index += b"%d %d " % (n, len(body))
+            body += o + b" "
+        assert bodies
+        streams[99] = stream(index + body, b"/Type /ObjStm /N %d /First %d" % (len(objects), len(index)))
+        objects = {}
+    out = b"%PDF-1.5\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % x for x in [*objects.items(), *streams.items()])
+    return out + b"trailer <</Root 1 0 R>>\n%%EOF"
+
+
+def shown(text, unicode_font=False):
+    return b"<" + text.encode("utf-16-be").hex().encode() + b">" if unicode_font else b"(" + text.encode("cp1252").replace(b"(", b"\\(").replace(b")", b"\\)") + b")"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+@pytest.mark.parametrize("unicode_font", [False, True])
+def test_the_text_layer_of_pdf_files(spark, tmp_path, packed, unicode_font):
+    def page(title, body):
+        lines = b" ".join(shown(line, unicode_font) + b" Tj 0 -12 Td" for line in body)
+        return b"BT /F1 20 Tf 1 0 0 1 50 700 Tm %s Tj ET q 2 0 0 2 0 0 cm BT /F1 5 Tf 25 300 Td %s ET Q" % (shown(title, unicode_font), lines.replace(b"0 -12", b"0 -6"))
+
+    body = ["The council keeps a register (of all trees) in a", "large green book that anyone may read on weekdays."]
+    (tmp_path / "a.pdf").write_bytes(make_pdf([page("Trees", body), page("More", ["Café hours are from nine to five on every working day."])], packed, unicode_font))
+    (tmp_path / "scan.pdf").write_bytes(make_pdf([b"q Q"]))
+    (tmp_path / "locked.pdf").write_bytes(make_pdf([b""]).replace(b"trailer <<", b"trailer <</Encrypt 5 0 R "))
+    got = {r["source"]: r for r in files.load_documents(spark, str(tmp_path)).collect()}
+    a = got["a.pdf"]
+    assert a["error"] is None and a["metadata"]["num_pages"] == 2 and a["metadata"]["pdf_method"] == "text layer"
+    assert a["content"] == "# Trees\n\n" + " ".join(body) + "\n\n# More\n\nCafé hours are from nine to five on every working day." and len(a["pages"]) == 2
+    assert "OCR" in got["scan.pdf"]["error"] and "encrypted" in got["locked.pdf"]["error"]
+    again = {r["source"]: r for r in files.load_documents(spark, str(tmp_path), ocr=lambda data, lang, tables: [f"read in {lang}", ""], ocr_lang="pt").collect()}
+    assert again["scan.pdf"]["content"] == "read in pt" and again["scan.pdf"]["metadata"]["pdf_method"] == "ocr" and again["scan.pdf"]["metadata"]["num_pages"] == 2
+
+
+def test_blank_cache_files_go(spark, tmp_path):
+    (tmp_path / "cache").mkdir()
+    (tmp_path / "cache" / "a.md").write_text(" \n")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.pdf").write_bytes(b"x")
+    reader = lambda data: {"content": "read", "pages": ["read"], "num_pages": 1, "pdf_method": "own"}
+    assert files.load_documents(spark, str(tmp_path / "in"), reader, str(tmp_path / "cache")).first()["content"] == "read"
+    assert (tmp_path / "cache" / "a.md").read_text() == "read"
 
 
 @pytest.mark.parametrize(("answer", "value"), [('```json\n[1]\n```', [1]), ("x ```\n{\"a\": 2}\n``` y", {"a": 2}), ("3", 3), ("nope", None), (None, None)])
@@ -100,25 +163,43 @@ def test_flat_trees(answer):
     assert not used and root["name"] == "stem" and [c["name"] for c in root["children"]] == ["T1", "T2"]
 
 
-def test_slices_are_cached_by_content(spark, tmp_path):
-    calls = str(tmp_path / "calls")
+class Counting(providers.OfflineChat):
+    """Writes the kind of each call to a file; fails for texts with ``broken`` in them while that file says so."""
 
-    class Counting(providers.OfflineChat):
-        def complete(self, request):
-            with open(calls, "a") as f:
-                f.write("x")
-            return super().complete(request)
+    def __init__(self, calls):
+        self.calls = calls
 
-    cache = str(tmp_path / "cache")
-    rows = [(0, TEXT * 5, "a.md"), (1, "tiny", "b.md")]
+    def complete(self, request):
+        with open(self.calls, "a") as f:
+            f.write(request.kind + "\n")
+        if "broken" in str(request.data) and not os.path.exists(self.calls + ".mended"):
+            raise OSError
+        return super().complete(request)
+
+
+def test_answers_are_kept_by_content(spark, tmp_path):
+    calls, cache = str(tmp_path / "calls"), str(tmp_path / "cache")
+    rows = [(0, TEXT * 5, "a.md"), (1, "tiny", "b.md"), (2, TEXT * 5, "a.md")]
     docs = spark.createDataFrame(rows, "doc_id long, content string, source string")
-    one = slicing.slice_documents(docs, Counting(), cache=cache).orderBy("doc_id", "seg_no").collect()
-    n = len(open(calls).read())
-    two = slicing.slice_documents(docs, Counting(), cache=cache).orderBy("doc_id", "seg_no").collect()
-    assert [r["seg_id"] for r in one] == [r["seg_id"] for r in two]
-    assert {r["doc_id"] for r in one} == {0, 1} and one[0]["seg_id"] == "seg_000"
-    # only what gave no segment, and so is not in the table, is asked again
-    assert len(open(calls).read()) <= n + 1
+
+    def run(docs):
+        segments = slicing.slice_documents(docs, Counting(calls), 1, cache=f"{cache}/segments").cache()
+        nodes = slicing.topic_nodes(segments, Counting(calls), 1, cache=f"{cache}/topics")
+        return sorted(map(str, segments.collect())), sorted(map(str, nodes.collect()))
+
+    one = run(docs)
+    asked = open(calls).read().split()
+    # the same text under the same name is asked about once
+    assert sorted(set(asked)) == ["slice", "topics"] and asked.count("slice") == 2 and asked.count("topics") == 2
+    assert run(docs) == one and open(calls).read().split() == asked
+    more = docs.unionAll(spark.createDataFrame([(3, "broken " + TEXT * 4, "c.md")], docs.schema))
+    run(more)
+    assert open(calls).read().split()[len(asked) :] == ["slice", "topics"]
+    # a call that failed is asked again, and then no more
+    (tmp_path / "calls.mended").write_text("")
+    run(more)
+    n = len(open(calls).read().split())
+    assert n > len(asked) + 2 and run(more) and len(open(calls).read().split()) == n
 
 
 class Scripted:
@@ -210,7 +291,7 @@ def test_the_loop_stops():
 
 @pytest.mark.parametrize("llm", [False, True])
 def test_whole_run(spark, folder, llm):
-    c = settings.Config(num_samples=6, use_llm_pipeline=llm, tree_path=str(folder / "tree.json"), parsed_path=str(folder / "parsed"), output_path=str(folder / "out.json"))
+    c = settings.Config(num_samples=6, use_llm_pipeline=llm, tree_path=str(folder / ("tree.json" if llm else "tree")), slicer_cache_dir=str(folder / "sliced"), parsed_path=str(folder / "parsed"), output_path=str(folder / "out.json"))
     out = pipeline.run_pipeline(spark, str(folder / "in"), c)
     assert 1 <= len(out) <= 6 and all(set(e) == {"question", "answer", "contexts", "ground_truth", "source", "metadata"} for e in out)
     assert len({e["question"] for e in out}) == len(out)
@@ -221,9 +302,54 @@ def test_whole_run(spark, folder, llm):
     assert sinks.save_html(out, c.output_path).endswith("out.html")
 
 
+def test_a_second_run_asks_nothing(spark, folder):
+    calls = str(folder / "calls")
+    c = settings.Config(num_samples=6, tree_path=str(folder / "tree"), slicer_cache_dir=str(folder / "sliced"), parsed_path=str(folder / "parsed"))
+    docs = spark.createDataFrame([(0, TEXT * 5, "a.md"), (1, TEXT[::-1] * 4, "b.md")], "doc_id long, content string, source string")
+    one = pipeline.build_tree(docs, c, Counting(calls)).count()
+    n = len(open(calls).read().split())
+    assert pipeline.build_tree(docs, c, Counting(calls)).count() == one and len(open(calls).read().split()) == n
+
+
+def test_models_by_name():
+    assert isinstance(providers.chat_of("offline"), providers.OfflineChat)
+    chat = providers.chat_of("some-model", "http://localhost:1/chat", "KEY")
+    assert (chat.model, chat.url, chat.key_variable) == ("some-model", "http://localhost:1/chat", "KEY")
+    assert isinstance(providers.embedder_of("hashing"), providers.HashingEmbedder) and providers.embedder_of("e", "http://x").model == "e"
+    for make in (providers.chat_of, providers.embedder_of):
+        with pytest.raises(ValueError):
+            make("some-model")
+
+
+def test_chat_over_http(monkeypatch):
+    import http.server
+    import threading
+
+    class Answer(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            out = {"data": [{"embedding": [1.0, 2.0]} for _ in body["input"]]} if "input" in body else {"choices": [{"message": {"content": f"{body['model']} {body['messages'][1]['content']} {self.headers['Authorization']}"}}]}
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(json.dumps(out).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    monkeypatch.setenv("TEST_KEY", "secret")
+    url = f"http://127.0.0.1:{server.server_port}/"
+    assert providers.chat_of("m", url, "TEST_KEY").complete(providers.Request("facts", "s", "hello")) == "m hello Bearer secret"
+    assert providers.embedder_of("e", url, "TEST_KEY").embed(["a", "b"]).tolist() == [[1.0, 2.0]] * 2
+    server.shutdown()
+
+
 def test_run_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         pipeline.run_pipeline(spark, None, settings.Config(tree_path=str(tmp_path / "no.json")), qa_only=True)
+    with pytest.raises(FileNotFoundError):
+        pipeline.run_pipeline(spark, None, settings.Config(tree_path=str(tmp_path / "no")), qa_only=True)
     (tmp_path / "none").mkdir()
     with pytest.raises(ValueError):
         pipeline.run_pipeline(spark, str(tmp_path / "none"), settings.Config(parsed_path=str(tmp_path / "p")))

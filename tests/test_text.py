@@ -136,3 +136,44 @@ def test_split_rows(spark):
 
 def test_fixed_lists():
     assert len(fixed.METADATA_TERMS) == 48 and len(fixed.SKIP_SECTIONS) == 23 and len(fixed.FRONT_MATTER) == 12
+
+
+def test_a_pattern_for_any_term():
+    import random
+    import re
+
+    rng = random.Random(3)
+    for _ in range(100):
+        terms = ["".join(rng.choice("ab.( \n") for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(1, 12))]
+        for _ in range(20):
+            t = "".join(rng.choice("ab.( \n") for _ in range(rng.randrange(8)))
+            assert bool(re.search(filters.any_of(terms), t)) == any(x in t for x in terms)
+
+
+def test_new_questions_are_those_a_run_accepts():
+    import random
+
+    from folioquest.operators import generation
+
+    rng, stock = random.Random(4), [f"w{k}" for k in range(14)]
+    asked = [" ".join(rng.choice(stock) for _ in range(rng.randrange(1, 12))) + rng.choice(["", "?", "??"]) for _ in range(400)]
+    history, want = generation.History(), []
+    for q in asked:
+        want.append(not history.is_duplicate(q))
+        if want[-1]:
+            history.accept(q, "single-hop", None)
+    assert filters.new_questions([q.lower().strip().rstrip("?") for q in asked]) == want and 50 < sum(want) < 400
+
+
+def test_numbered_chunks_against_dense_numbers(spark):
+    import random
+
+    from folioquest.operators import ordering, splitting
+
+    rng = random.Random(5)
+    rows = [(k * 7 % 40, " ".join(rng.choice(["word", "abstract", "isbn", "longer-word", "\n"]) for _ in range(rng.randrange(0, 900)))) for k in range(40)] + [(100, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, content string").repartition(3)
+    good = filters.good_chunks(splitting.document_chunks(docs))
+    want = sorted((r["chunk_id"], r["doc_id"], r["start_pos"], r["end_pos"], r["piece"]) for r in ordering.dense_ids(good, ["doc_id", "start_pos"], "chunk_id").collect())
+    got = sorted(tuple(r) for r in splitting.numbered_chunks(docs).select("chunk_id", "doc_id", "start_pos", "end_pos", "piece").collect())
+    assert got == want and len(got) > 20

@@ -1,5 +1,7 @@
 import random
 
+import json
+
 import pytest
 
 from folioquest.operators import ordering, quota, tree
@@ -100,16 +102,44 @@ def test_paths_totals_and_drawing(spark):
     totals = {r["idx"]: (r["total_chars"], r["n_nodes"]) for r in tree.subtree_totals(nodes).collect()}
     assert totals[0] == (2 * len(LONG), 4) and totals[2] == (len(LONG), 2)
     drawn = tree.draw(nodes)
-    assert "└── [FILE] doc0.md" in drawn and "├── One" in drawn and f"2 leaves, {2 * len(LONG)} chars" in drawn
+    assert f"└── [FILE] doc0.md — total: {2 * len(LONG)} chars" in drawn and "├── One" in drawn and "Leaf nodes: 2\nTotal chunks: 0" in drawn
+    chunks = spark.createDataFrame([(0, 1, 3), (0, 3, 4)], "doc_id long, idx int, n int")
+    drawn = tree.draw(nodes, chunks)
+    assert f"├── One ({len(LONG)} chars) [3 chunks]" in drawn and "Total chunks: 7" in drawn
     assert tree.draw(nodes.limit(0)) == "No tree built yet."
 
 
-def test_save_and_load(spark, tmp_path):
-    nodes = tree.build(docs(spark, f"# T\n## One\n{LONG}"))[0]
-    path = str(tmp_path / "deep" / "tree.json")
+def test_the_forest_has_a_root_and_files(spark):
+    nodes = tree.build(docs(spark, f"# T\n## One\n{LONG}", f"# U\n{LONG}"))[0]
+    rows = tree.forest(nodes).collect()
+    assert [(r["name"], r["source"], r["depth"], r["level"]) for r in rows if r["kind"] == "root"] == [("Document Topics", "root", 0, 0)]
+    assert sorted((r["name"], r["idx"], r["depth"], r["level"]) for r in rows if r["kind"] == "file") == [("doc0.md", -1, 0, 1), ("doc1.md", -1, 0, 1)]
+    assert {(r["name"], r["parent_idx"], r["level"]) for r in rows if r["kind"] == "section"} == {("T", -1, 2), ("One", 0, 3), ("U", -1, 2)}
+    assert tree.forest(nodes.limit(0)).count() == 0
+
+
+def test_headings_of_long_documents(spark):
+    """Many headings: each takes its own lines along."""
+    text = "\n".join(f"{'#' * (1 + k % 6)} H{k}\nline {k}\n" for k in range(3000))
+    rows = tree.heading_nodes(docs(spark, text)).collect()
+    assert len(rows) == 3000 and all(r["content"] == f"line {r['idx']}" for r in rows)
+
+
+@pytest.mark.parametrize("name", ["tree.json", "tree"])
+def test_save_and_load(spark, tmp_path, name):
+    nodes = tree.build(docs(spark, f"# T\n## One\n{LONG}\n## Two\n### é\n{LONG}", f"# U\n{LONG}"))[0]
+    path = str(tmp_path / "deep" / name)
     sinks.save_tree(nodes, path)
     back = sinks.load_tree(spark, path)
-    assert sorted(map(str, back.collect())) == sorted(map(str, nodes.select(*sinks.NODE_FIELDS).collect()))
+    fields = [f for f in sinks.NODE_FIELDS if f not in ("idx", "parent_idx", "ancestors")]
+    assert sorted(map(str, back.select(fields).collect())) == sorted(map(str, nodes.select(fields).collect()))
+    paths = lambda n: sorted((r["doc_id"], r["topic_path"]) for r in tree.topic_path(n.where("is_leaf")).collect())
+    assert paths(back) == paths(nodes)
+    if name.endswith(".json"):
+        root = json.load(open(path, encoding="utf-8"))
+        assert root["name"] == "Document Topics" and root["depth"] == 0 and [c["name"] for c in root["children"]] == ["doc0.md", "doc1.md"]
+        top = root["children"][0]["children"][0]
+        assert top["name"] == "T" and [c["name"] for c in top["children"]] == ["One", "Two"] and top["children"][1]["children"][0]["content"] == LONG
     sinks.save_tree(nodes.limit(0), str(tmp_path / "none.json"))
     assert not (tmp_path / "none.json").exists()
     (tmp_path / "bad.json").write_text('{"a": 1}')
@@ -151,3 +181,13 @@ def test_dense_ids(spark):
     assert [(r["a"], r["b"]) for r in sorted(got, key=lambda r: r["id"])] == sorted(rows)
     assert sorted(r["id"] for r in got) == list(range(500))
     assert ordering.dense_ids(spark.createDataFrame([], "a int"), ["a"], "id").count() == 0
+
+
+def test_first_numbers(spark):
+    rows = [(k * 3 % 101, k % 5 + 1) for k in range(101)]
+    got = {r["key"]: r["first"] for r in ordering.first_numbers(spark.createDataFrame(rows, "key int, n long").repartition(5), "key", "n", "first", 4).collect()}
+    before = 0
+    for key, n in sorted(rows):
+        assert got[key] == before
+        before += n
+    assert ordering.first_numbers(spark.createDataFrame([], "key int, n long"), "key", "n", "first").count() == 0

@@ -29,11 +29,63 @@ def test_nearest_against_brute_force(spark, monkeypatch, metric, side):
     assert got[0]["score"] == pytest.approx(abs(scores[0, want[0][1]]) if metric == "l2" else scores[0, want[0][1]], rel=1e-5)
 
 
+@pytest.mark.parametrize("side", [8192, 7])
+def test_exclusions_against_brute_force(spark, monkeypatch, side):
+    """What is left out doesn't take the place of what comes next, however much there is of it."""
+    monkeypatch.setattr(similarity, "SIDE", side)
+    rng = np.random.default_rng(4)
+    rows, queries = rng.normal(size=(50, 4)), rng.normal(size=(6, 4))
+    order = np.argsort(((queries[:, None] - rows[None]) ** 2).sum(axis=2), axis=1)
+    left_out = [(q, int(i)) for q in range(5) for i in order[q][: 2 + 11 * q]] + [(0, 999)]
+    got = similarity.top_matches(vectors(spark, queries, "q_idx"), vectors(spark, rows), 2, "l2", excluded=spark.createDataFrame(left_out, "q_idx long, idx long")).orderBy("q_idx", "rank").collect()
+    want = [(q, int(i)) for q in range(6) for i in [i for i in order[q] if (q, i) not in left_out][:2]]
+    assert [(r["q_idx"], r["idx"]) for r in got] == want
+
+
+@pytest.mark.parametrize("side", [8192, 40])
+@pytest.mark.parametrize("clustered", [True, False])
+def test_index_recall(spark, monkeypatch, side, clustered):
+    monkeypatch.setattr(similarity, "SIDE", side)
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(40, 16))
+    rows = (middles[rng.integers(0, 40, 1500)] + 0.3 * rng.normal(size=(1500, 16))) if clustered else rng.normal(size=(1500, 16))
+    queries = rows[::20] + 0.1 * rng.normal(size=(75, 16))
+    r, q = vectors(spark, rows), vectors(spark, queries, "q_idx")
+    lists = similarity.Lists.fit(r)
+    assert len(lists.centres) == round(1500**0.5) and lists.probes < (12 if clustered else 39)
+    pairs = lambda df: {(x["q_idx"], x["idx"]) for x in df.collect()}
+    exact = pairs(similarity.top_matches(q, r, 5))
+    found = similarity.near_matches(q, r, 5, lists)
+    near = pairs(found)
+    assert len(near) == len(exact) and len(near & exact) >= 0.9 * len(exact)
+    # with all lists it is exact
+    assert pairs(similarity.near_matches(q, r, 5, similarity.Lists(lists.centres, len(lists.centres)))) == exact
+
+
+def test_index_over_the_test_table(spark):
+    import os
+
+    from folioquest.plans import vector_queries
+
+    data = "/root/testdata/sf0.01"
+    if not os.path.isdir(data):
+        pytest.skip("the driver's tables aren't here")
+    pairs = lambda df: {(x["q_idx"], x["idx"]) for x in df.collect()}
+    exact, near = pairs(vector_queries.knn_ip(spark, data)), pairs(vector_queries.knn_index(spark, data))
+    assert len(near & exact) >= 0.9 * len(exact)
+
+
+def test_index_of_an_empty_table(spark):
+    none = vectors(spark, [[1.0, 0.0]]).limit(0)
+    assert similarity.near_matches(vectors(spark, [[1, 0]], "q_idx"), none, 3, similarity.Lists.fit(none)).count() == 0
+
+
 def test_related_leaves(spark):
     leaves = vectors(spark, [[1, 0], [1, 0.1], [1, 0.2], [0, 1], [0, 0], [1, 0]], "leaf_idx", source=["a", "a", "b", "b", "b", "b"], content=["x", "x", "x", "x", "x", ""])
     got = {(r["leaf_idx"], r["related_idx"]) for r in similarity.related_leaves(leaves).collect()}
     # own source, zero vectors and leaves without content are left out
     assert got == {(0, 2), (1, 2), (2, 0), (2, 1), (5, 0), (5, 1)}
+    assert {(r["leaf_idx"], r["related_idx"]) for r in similarity.related_leaves(leaves, index=True).collect()} == got
 
 
 def test_diverse_search(spark):
