@@ -26,7 +26,7 @@ SHINGLE = 5
 #: Similarity as a fraction.
 SAME, OF = 4, 5
 COUNTER_BITS, COUNTER_RANGES = 20, 64
-LARGE, CHOSEN = 64, 3
+LARGE, CHOSEN = 64, 2
 RADIUS = 54
 SLICE = 1 << 16
 MARK_BITS = 22
@@ -176,17 +176,34 @@ def _with_match(rows: np.ndarray) -> np.ndarray:
     return keep
 
 
+def _off_centre(rows: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """In how many bits each fingerprint differs from the majority of its bucket."""
+    prints = np.ascontiguousarray(rows[:, 5:7]).view(np.uint8)
+    out = np.empty(len(rows), np.int64)
+    held = np.zeros((len(first), 128), np.int32)
+    bucket = np.repeat(np.arange(len(first)), sizes)
+    for lo in range(0, len(rows), SLICE):
+        part, own = np.unpackbits(prints[lo : lo + SLICE], axis=1), bucket[lo : lo + SLICE]
+        at = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        held[own[at]] += np.add.reduceat(part, at, dtype=np.int32)
+    centre = np.packbits(2 * held > sizes[:, None], axis=1)
+    for lo in range(0, len(rows), SLICE):
+        out[lo : lo + SLICE] = np.bitwise_count(prints[lo : lo + SLICE] ^ centre[bucket[lo : lo + SLICE]]).sum(axis=1)
+    return out
+
+
 def _pairs(rows: np.ndarray, salt: int | None) -> Iterator[np.ndarray]:
-    """Pairs of s from whole buckets: all with all if there is no salt, else every member with the ``CHOSEN`` first of its bucket by a salted hash, so that buckets with the same members choose alike."""
+    """Pairs of s from whole buckets: all with all if there is no salt, else every member with ``CHOSEN`` of its bucket. With an even salt these are the nearest to the majority of the bucket's fingerprints, as the origin of many copies is, else the first by a salted hash."""
     if salt is None:
         group = np.cumsum(np.append(True, rows[1:, 0] != rows[:-1, 0]))
         for i, j in planes.near_pairs(group, np.ascontiguousarray(rows[:, 5:7]).view(np.uint64), RADIUS):
             yield np.stack([rows[i, 1], rows[j, 1]], axis=1)[_open_match(rows[i], rows[j])]
         return
+    first = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
+    sizes = np.diff(np.append(first, len(rows)))
+    # with a hash of the member itself, so that buckets with the same members choose alike
     rank = repeats.mix(rows[:, 1].copy().view(np.uint64), np.full(len(rows), salt, np.uint64))
-    dealt = rows[np.lexsort((rank, rows[:, 0]))]
-    first = np.flatnonzero(np.append(True, dealt[1:, 0] != dealt[:-1, 0]))
-    sizes = np.diff(np.append(first, len(dealt)))
+    dealt = rows[np.lexsort((rank, _off_centre(rows, first, sizes), rows[:, 0]) if salt % 2 == 0 else (rank, rows[:, 0]))]
     place = np.arange(len(dealt)) - np.repeat(first, sizes)
     for k in range(CHOSEN):
         at = np.flatnonzero(place > k)
@@ -216,9 +233,12 @@ def candidates(shared: DataFrame, salt: int | None) -> DataFrame:
             found = _distinct(held)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, k]) for k in (0, 1)], names=["a", "b"])
 
+    return _bucketed(shared).mapInArrow(run, "a long, b long").distinct()
+
+
+def _bucketed(shared: DataFrame) -> DataFrame:
     n = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = shared.select("token", "s", "size", "place", "root", "f0", "f1").repartition(n, "token").sortWithinPartitions("token")
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return shared.select("token", "s", "size", "place", "root", "f0", "f1").repartition(n, "token").sortWithinPartitions("token")
 
 
 def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,10 +262,14 @@ def shared_members(values: DataFrame) -> DataFrame:
     return opened.repartition(n, "token").sortWithinPartitions("token").mapInArrow(run, "token long, s long, size long, place long")
 
 
-def open_pairs(rows: DataFrame) -> int:
-    """Pairs of different components in the buckets of (token, root), counted in each bucket they share."""
-    each = rows.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
-    return int(each.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.lit(0))).first()[0])
+def near_pairs(rows: DataFrame) -> int:
+    """How many pairs ``candidates`` would find among all, counted in each bucket they share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _by_bucket(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, _pairs(part, None)))], pa.int64())], names=["n"])
+
+    return int(_bucketed(rows).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -192,15 +192,13 @@ def linked(shared: DataFrame, sets: DataFrame, rounds: int = ROUNDS, few: int =
     """node, root of the components of two sets or more, from shared members and the sets (s, set).
 
     First each member is compared with ``shingles.CHOSEN`` of its bucket, which joins large groups without looking at all
-    their pairs; again with others while more than ``few`` pairs a member lie in different components, but ``rounds``
-    times at most. Then all pairs are compared that still do.
+    their pairs; again with others while more than ``few`` pairs a member are near each other and still lie in
+    different components, but ``rounds`` times at most. Then all pairs are compared that do.
     """
-    n, links, tried, roots = shared.count(), None, None, None
+    n, links, tried, rows = shared.count(), None, None, shared.withColumn("root", F.col("s"))
+    roots = last = None
     for k in range(rounds + 1):
-        rows = shared.withColumn("root", F.col("s"))
-        if roots is not None:
-            rows = shared.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
-        last = k == rounds or k > 0 and shingles.open_pairs(rows) <= few * n
+        last = k == rounds or k > 0 and shingles.near_pairs(rows) <= few * n
         pairs = shingles.candidates(rows, None if last else k)
         pairs = common.checkpoint(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         tried = pairs if tried is None else tried.unionByName(pairs)
@@ -211,6 +209,7 @@ def linked(shared: DataFrame, sets: DataFrame, rounds: int = ROUNDS, few: int =
             roots = common.checkpoint(connected(links))
         if last:
             break
+        rows = common.checkpoint(shared.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s")))
     return roots
 
 
