@@ -1,14 +1,15 @@
 """What the exact substring operators and language-model scoring share: blocks of rows, and counting keys that blocks hold.
 
-Rows are dealt to *blocks* of about ``BLOCK_BYTES`` of text by a hash of their place in the input, so repeats of one row
-spread like any others. A block is worked on as a whole, so its rows in Spark are few: for each range of key values, one
-row with the block's distinct keys, sorted. A *bucket* gathers one range from all blocks, finds the keys that occur twice
-or more anywhere, and answers each block with one code for each of its keys, in the same order. A key that all texts
-share reaches its bucket once a block.
+Rows are dealt to *blocks* of text by a hash of their place in the input, so repeats of one row spread like any others.
+A block is worked on as a whole, so its rows in Spark are few: for each range of key values, one row with the block's
+distinct keys, sorted. A *bucket* gathers one range from all blocks, finds the keys that occur twice or more anywhere,
+and answers each block with one code for each of its keys, in the same order. A key that all texts share reaches its
+bucket once a block.
 
-Blocks and buckets both grow with the square root of the text, so that the rows exchanged, blocks times buckets, grow
-in proportion to it; from ``MOST_SIDE`` times their first size on they stay as they are, which bounds a task's memory,
-and rows grow faster until each holds one key.
+Blocks have ``BLOCK_BYTES`` and buckets take what ``BUCKET_BYTES`` of text send, and from ``SIDE_BYTES`` on both grow with
+the square root of the text, so that the rows exchanged, blocks times buckets, grow in proportion to it. At ``MOST_SIDE``
+times their first size they stay as they are, which bounds a task's memory, and rows grow faster until each holds one
+key.
 
 The blocks' texts are shuffled once; later passes over them read the same shuffle files. Rows must come in the same order
 each time a partition of the input is read, as those of a stored table do.
@@ -27,9 +28,9 @@ from pyspark.sql import functions as F
 
 from folioquest.llm import common
 
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
-SIDE_BYTES, MOST_SIDE = 1 << 30, 4
+BLOCK_BYTES = 1 << 20
+BUCKET_BYTES = 4 << 20
+SIDE_BYTES, MOST_SIDE = 64 << 20, 16
 
 REPEATED, FIRST = 1, 2
 

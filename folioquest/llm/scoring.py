@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from folioquest.llm import common, repeats
 
 PROBES, BITS = 12, 64
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 2 << 20
 #: Bytes of an n-gram's hash that are sent; the range it is sent to adds to them.
 WIDTH = 6
 PAIR_SHARE, PAIR_SEEN = 0.4, 20

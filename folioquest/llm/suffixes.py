@@ -34,7 +34,7 @@ SEED = 16
 PIECE = 1 << 18
 HOT = 64
 SORTED_BYTES = 512 << 10
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 2 << 20
 MIXED, TOO_MANY = 4, 8
 RUNS, STRINGS, VERDICTS, SEGMENTS = range(4)
 _PLACE = np.uint64((1 << 24) - 1)
