@@ -10,8 +10,8 @@ that the scoring model hasn't seen.
 A text's features are the distinct words in it and the first 4, 5 and 6 bytes of each, all lower-cased, with a second
 and third feature where two and three distinct words share such a beginning; nothing else of the row is read. Spark
 counts features over the training rows; all that are ``LIFT`` times as frequent among positives as in the rest, with a
-likelihood ratio of ``LEAST_G`` for it, enter a linear model without negative weights. Training takes positives and
-unlabelled rows of about ``MAX_TRAIN`` ids each at most, drawn by a hash of the id; every row is scored on its whole text.
+likelihood ratio of ``LEAST_G`` for it, enter a linear model without negative weights. Training takes positives
+of about ``MAX_POSITIVE`` ids and unlabelled rows of about ``MAX_DRAWN`` at most, drawn by a hash of the id; every row is scored on its whole text.
 
 The place of the 0.7 cut is found on rows that a model hasn't seen: ``PARTS`` models, each trained without one part of
 the rows, score that part, and the cut goes where recall and estimated precision (the prior times recall, over the share
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from folioquest.llm import common
 
-MAX_TRAIN = 40_000
+MAX_POSITIVE, MAX_DRAWN = 20_000, 20_000
 #: Bounds of an estimated prior, the prior it is estimated with, and the share of positives a cut must have above it.
 LEAST_PRIOR, MOST_PRIOR, FIRST_PRIOR, LEAST_RECALL = 1e-4, 0.9, 0.1, 0.25
 LEAST_POSITIVES = 2
@@ -194,14 +194,14 @@ def _drawn(n: int, most: int) -> Column:
     return F.lit(True) if n <= most else F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 20)) < int((1 << 20) * most / n)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
-    """(text, positive, drawn) of the training fold: confirmed toxic rows, and a draw from all rows; ``most`` ids of each or so."""
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_POSITIVE, most_drawn: int = MAX_DRAWN) -> DataFrame:
+    """(text, positive, drawn) of the training fold: confirmed toxic rows of about ``most`` ids, and a draw of about ``most_drawn`` from all."""
     fold = common.crc_column() % FOLDS != HELD_OUT
     toxic = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(fold & (F.col("toxic") == 1)).select("doc_id").distinct()
     toxic = toxic.where(_drawn(toxic.count(), most)).withColumn("positive", F.lit(True))
     texts = common.keyed_text(docs).where(fold)
     # about ``most`` ids at most, so they can go to the texts
-    rows = texts.withColumn("drawn", _drawn(texts.count(), most)).join(F.broadcast(toxic), "doc_id", "left")
+    rows = texts.withColumn("drawn", _drawn(texts.count(), most_drawn)).join(F.broadcast(toxic), "doc_id", "left")
     return rows.select("text", F.coalesce("positive", F.lit(False)).alias("positive"), "drawn").where("positive or drawn")
 
 
@@ -238,8 +238,8 @@ def stands_out(a: Column, n: int, b: Column, m: int) -> Column:
     return (a / n >= LIFT * (b + 1) / (m + 2)) & (g >= LEAST_G)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN, prior: float | None = None) -> Model:
-    rows = common.checkpoint(training_rows(docs, labels, most))
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_POSITIVE, most_drawn: int = MAX_DRAWN, prior: float | None = None) -> Model:
+    rows = common.checkpoint(training_rows(docs, labels, most, most_drawn))
     n, n_pos, n_rest = rows.agg(F.count_if("drawn"), F.count_if("positive"), F.count_if(~F.col("positive"))).first()
     nothing = Model(-40.0)
     if not n or not n_pos or not n_rest:
@@ -256,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN, prior: float
             found = [np.array(sorted(place[f] for f in features(t) if f in place), "<i4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("positive"), batch.column("drawn")], names=["present", "positive", "drawn"])
 
-    # rows of at most about twice ``most`` ids; those with the same features are one row with weights
+    # rows of at most about ``most`` and ``most_drawn`` ids; those with the same features are one row with weights
     encoded = rows.mapInArrow(encode, "present binary, positive boolean, drawn boolean").groupBy("present").agg(F.count_if("positive").alias("p"), F.count_if("drawn").alias("u"))
     matrix = encoded.orderBy(F.xxhash64("present"), "present").toArrow()
     present = [np.frombuffer(x, "<i4") for x in matrix.column("present").to_pylist()]
