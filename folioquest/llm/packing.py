@@ -1,9 +1,10 @@
 """Best-fit packing by exact complements.
 
 The plan is made over the histogram of piece lengths, which has at most ``capacity`` entries at any corpus size.
-Lengths are taken from the longest down. For each, the gap it leaves is looked up among single lengths, sums of two
-and sums of three, and every combination that fills the gap exactly is consumed as often as the counts allow. What
-remains goes to the tightest open sequences that have room. A plan holds *patterns* (lengths and how often the
+The lengths that occur and the sums of every two of them are indexed once. Lengths are taken from the longest down. For
+each, the gap it leaves is looked up among single lengths, sums of two, and sums of three (one length, and what the
+index has for the rest), and every combination that fills the gap exactly is consumed as often as the counts allow.
+What remains goes to the tightest open sequences that have room. A plan holds *patterns* (lengths and how often the
 pattern is used), so its size follows the number of distinct lengths, not the number of pieces.
 
 Each piece gets a rank among those of its length: a count for each length and hash bucket, running sums over the
@@ -71,12 +72,28 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return common.keyed_text(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
+class PairSums:
+    """The first parts (not less than the second) of all pairs of lengths, by their sum, longest first."""
+
+    def __init__(self, lengths: np.ndarray, capacity: int):
+        at, other = np.tril_indices(len(lengths))
+        first, sums = lengths[at], lengths[at] + lengths[other]
+        own = np.flatnonzero(sums < capacity)
+        own = own[np.lexsort((-first[own], sums[own]))]
+        self.first = first[own]
+        self.bounds = np.searchsorted(sums[own], np.arange(capacity + 1))
+
+    def __getitem__(self, total: int) -> np.ndarray:
+        return self.first[self.bounds[total] : self.bounds[total + 1]]
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
     """Patterns ((length, times), ...) and how many sequences use each; all counts are used up."""
     have = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         have[length] = n
     patterns: list[tuple[Pattern, int]] = []
+    index = PairSums(np.flatnonzero(have), capacity)
 
     def take(lengths: list[int]) -> bool:
         need = Counter(lengths)
@@ -89,9 +106,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern
 
     def pairs(total: int, most: int) -> np.ndarray:
         """First parts, longest first, of the available pairs with that sum."""
-        first = np.arange(min(total - 1, most), (total - 1) // 2, -1)
-        ok = (have[first] > 0) & (have[total - first] > 0)
-        return first[ok]
+        first = index[total]
+        return first[(first <= most) & (have[first] > 0) & (have[total - first] > 0)]
 
     left: dict[int, int] = {}
     if have[capacity]:
