@@ -56,15 +56,17 @@ def blocked(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, int]:
     return docs.withColumn(common.free_name(docs, "block"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")), total
 
 
-def packed(values: np.ndarray, width: int) -> bytes:
-    """The lower ``width`` bytes of 64-bit values, byte by byte: sorted or small values pack well so."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+def packed(values: np.ndarray, width: int = 8) -> bytes:
+    """The lower ``width`` bytes of 64-bit values, byte by byte, compressed: differences and small values pack well so."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return len(values).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
 
 
-def unpacked(data: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :width] = planes.T
+def unpacked(data: bytes, width: int = 8) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :width] = np.frombuffer(pa.decompress(data[8:], n * width, "zstd", asbytes=True), np.uint8).reshape(width, n).T
     return out.view("<u8").ravel()
 
 
@@ -79,6 +81,13 @@ def mix(a: np.ndarray, b: np.ndarray | None = None) -> np.ndarray:
     return x
 
 
+def place_in(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
+    """How far into its bucket each key lies, in ``bits`` bits; in the order of the keys."""
+    high = (keys >> np.uint64(32)) * np.uint64(buckets) << np.uint64(32)
+    both = high + (keys & np.uint64(0xFFFFFFFF)) * np.uint64(buckets)
+    return np.where(both < high, ~np.uint64(0), both) >> np.uint64(64 - bits)
+
+
 _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 

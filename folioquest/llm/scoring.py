@@ -8,14 +8,16 @@ levels 1 to k. A level is read back by probing one after the other until one is
 The filter lies in Spark in slices, one for each range of the n-grams' 64-bit hashes. It grows with the text, so it isn't
 broadcast: blocks of texts send the distinct n-grams they hold with their counts in training rows, a slice is filled
 from what all blocks send for its range, and probed for each block on the spot (see ``repeats``). Slices have
-``BITS`` bits an entry and so the same rate of false positives, under 1e-9, at any size of the corpus.
+``BITS`` bits an entry and so the same rate of false positives, under 1e-9, at any size of the corpus; that two n-grams have
+the same place of 40 bits in a range, which a range of a million n-grams makes one in a million, comes on top. An n-gram's
+bits lie in a small part of its slice, by its place, so that sorted n-grams are probed close to each other.
 
 Unknown words get what Good and Turing leave them, the share of tokens seen once; known ones share the rest by the
 middles of their levels. A word after a known one mixes this with the pair's share among the successors of the first:
 the least count of the pair's level over the most of the first word's, and what false positives may add to it. Shares of
 successors so add up to one at most. The end of a text stands before the first word of the next.
 
-Base scores take exact counts, which ranges of words hold beside their slice. Of the corpus, the driver sees six sums.
+Base scores take exact counts, which ranges of words hold beside their slice. Of the corpus, the driver sees seven sums.
 
 Null and empty texts are one end. Repeated rows all count. Without training rows N and V are 0 and all is unknown.
 """
@@ -34,8 +36,8 @@ from folioquest.llm import common, repeats
 
 PROBES, BITS = 12, 64
 BUCKET_BYTES = 2 << 20
-#: Bytes of an n-gram's hash that are sent; the range it is sent to adds to them.
-WIDTH = 6
+#: Bytes of an n-gram's place in its range that are sent, and n-grams in a part of a slice.
+WIDTH, PART = 5, 2048
 PAIR_SHARE, PAIR_SEEN = 0.4, 20
 FOLDS, HELD_OUT = 10, 0
 PRIOR = 0.1
@@ -47,8 +49,8 @@ LEAST = np.append(0, THRESHOLDS)
 MOST = np.append(0, np.append(THRESHOLDS[1:], (1 << 62)) - 1)
 MIDDLE = (LEAST + MOST) / 2
 
-ANSWERS = "block int, bucket int, kind int, levels binary, counts binary, total long, distinct long, once long, mass double, filled long, bits long"
-ANSWERS_ARROW = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("levels", pa.binary()), ("counts", pa.binary()), *[(c, pa.int64()) for c in ("total", "distinct", "once")], ("mass", pa.float64()), ("filled", pa.int64()), ("bits", pa.int64())])
+ANSWERS = "block int, bucket int, kind int, levels binary, counts binary, total long, distinct long, once long, mass double, filled long, bits long, pairs long"
+ANSWERS_ARROW = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("levels", pa.binary()), ("counts", pa.binary()), *[(c, pa.int64()) for c in ("total", "distinct", "once")], ("mass", pa.float64()), ("filled", pa.int64()), ("bits", pa.int64()), ("pairs", pa.int64())])
 
 
 #: The hash of a text's end.
@@ -75,11 +77,12 @@ class Tokens:
 
 
 def messages(block: int, kind: int, keys: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[dict]:
-    """A row for each range: the keys in it and their counts."""
+    """A row for each range: the places of the keys in it, as differences, and their counts."""
     bounds = np.searchsorted(repeats.bucket_of(keys, buckets), np.arange(buckets + 1))
+    places = repeats.place_in(keys, buckets, 8 * WIDTH)
     for k in np.flatnonzero(np.diff(bounds)):
         own = slice(bounds[k], bounds[k + 1])
-        yield {"bucket": int(k), "block": block, "kind": kind, "a": repeats.packed(keys[own], WIDTH), "b": repeats.packed(n[own].astype(np.uint64), 8), "flags": None, "rank": None}
+        yield {"bucket": int(k), "block": block, "kind": kind, "a": repeats.packed(np.diff(places[own], prepend=np.uint64(0)), WIDTH), "b": repeats.packed(n[own].astype(np.uint64)), "flags": None, "rank": None}
 
 
 def levels(n: np.ndarray) -> np.ndarray:
@@ -87,58 +90,53 @@ def levels(n: np.ndarray) -> np.ndarray:
     return np.searchsorted(THRESHOLDS, n, "right")
 
 
-def probes(keys: np.ndarray, level: np.ndarray | int, bits: int) -> Iterator[np.ndarray]:
-    """The bits of an entry, one array for each probe."""
-    one = repeats.mix(keys, np.broadcast_to(np.asarray(level, np.uint64), keys.shape))
-    two = repeats.mix(one) | np.uint64(1)
-    for _ in range(PROBES):
-        yield ((one >> np.uint64(32)) * np.uint64(bits) >> np.uint64(32)).astype(np.int64)
-        one = one + two
-
-
 @dataclass
 class Slice:
-    """The part of the filter that holds one range of one kind of n-grams. ``top`` is the highest level entered."""
+    """The part of the filter that holds one range of one kind of n-grams, by their places in it. ``top`` is the highest level entered."""
 
     bits: np.ndarray
+    part_bits: int
     top: int
 
     @staticmethod
-    def fill(keys: np.ndarray, n: np.ndarray, bits_an_entry: float = BITS) -> Slice:
+    def fill(places: np.ndarray, n: np.ndarray, bits_an_entry: float = BITS) -> Slice:
         level = levels(n)
-        own = np.zeros(max(64, int(level.sum() * bits_an_entry)), bool)
-        top = int(level.max(initial=0))
+        top, parts = int(level.max(initial=0)), max(1, len(places) // PART)
+        part_bits = max(64, int(level.sum() * bits_an_entry / parts))
+        own = Slice(np.zeros(parts * part_bits, bool), part_bits, top)
         for k in range(1, top + 1):
-            for at in probes(keys[level >= k], k, len(own)):
-                own[at] = True
-        return Slice(own, top)
-
-    def has(self, keys: np.ndarray, level: int) -> np.ndarray:
-        found = np.arange(len(keys))
-        for at in probes(keys, level, len(self.bits)):
-            found = found[self.bits[at[found]]]
-            if not len(found):
-                break
-        return found
-
-    def level(self, keys: np.ndarray) -> np.ndarray:
+            for at in own.probes(places[level >= k], k):
+                own.bits[at] = True
+        return own
+
+    def probes(self, places: np.ndarray, level: int) -> Iterator[np.ndarray]:
+        """The bits of entries, one array for each probe."""
+        parts = len(self.bits) // self.part_bits
+        base = (places * np.uint64(parts) >> np.uint64(8 * WIDTH)) * np.uint64(self.part_bits)
+        one = repeats.mix(places, np.full(len(places), level, np.uint64))
+        two = repeats.mix(one) | np.uint64(1)
+        for _ in range(PROBES):
+            yield base + ((one >> np.uint64(32)) * np.uint64(self.part_bits) >> np.uint64(32))
+            one = one + two
+
+    def has(self, places: np.ndarray, level: int) -> np.ndarray:
+        """Which of the n-grams are there under a level."""
+        out = np.ones(len(places), bool)
+        for at in self.probes(places, level):
+            out &= self.bits[at]
+        return np.flatnonzero(out)
+
+    def level(self, places: np.ndarray) -> np.ndarray:
         """The highest level up to which all are there."""
-        out, open_ = np.zeros(len(keys), np.uint8), np.arange(len(keys))
+        out, open_ = np.zeros(len(places), np.uint8), np.arange(len(places))
         for k in range(1, self.top + 1):
-            open_ = open_[self.has(keys[open_], k)]
+            open_ = open_[self.has(places[open_], k)]
             if not len(open_):
                 break
             out[open_] = k
         return out
 
 
-def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sums of their counts, of those that have any."""
-    distinct, of = np.unique(keys, return_inverse=True)
-    total = np.bincount(of, n, len(distinct)).astype(np.int64)
-    return distinct[total > 0], total[total > 0]
-
-
 def answers_of(rows: list[dict]) -> list[dict]:
     """What the blocks that asked about a range get back: levels, for words counts too; and the range's sums."""
     out = []
@@ -146,14 +144,18 @@ def answers_of(rows: list[dict]) -> list[dict]:
         own = [r for r in rows if r["kind"] == kind]
         if not own:
             continue
-        asked = [repeats.unpacked(r["a"], WIDTH) for r in own]
-        keys, n = summed(np.concatenate(asked), np.concatenate([repeats.unpacked(r["b"], 8) for r in own]))
-        slice_ = Slice.fill(keys, n)
+        asked = [np.cumsum(repeats.unpacked(r["a"], WIDTH)) for r in own]
+        places, of = np.unique(np.concatenate(asked), return_inverse=True)
+        total = np.bincount(of, np.concatenate([repeats.unpacked(r["b"]) for r in own]), len(places)).astype(np.int64)
+        seen = total > 0
+        slice_ = Slice.fill(places[seen], total[seen])
+        level, at = slice_.level(places), 0
         for r, a in zip(own, asked, strict=True):
-            at = np.minimum(np.searchsorted(keys, a), max(0, len(keys) - 1))
-            count = np.where(keys[at] == a, n[at], 0) if len(keys) else np.zeros(len(a), np.int64)
-            out.append({"block": r["block"], "bucket": r["bucket"], "kind": kind, "levels": slice_.level(a).tobytes(), "counts": repeats.packed(count.astype(np.uint64), 8) if kind == WORDS else None})
-        sums = {"total": int(n.sum()), "distinct": len(n), "once": int((n == 1).sum()), "mass": float(MIDDLE[levels(n)].sum())} if kind == WORDS else {"filled": int(slice_.bits.sum()), "bits": len(slice_.bits)}
+            mine = of[at : at + len(a)]
+            at += len(a)
+            out.append({"block": r["block"], "bucket": r["bucket"], "kind": kind, "levels": repeats.packed(level[mine].astype(np.uint64), 1), "counts": repeats.packed(total[mine].astype(np.uint64)) if kind == WORDS else None})
+        n = total[seen]
+        sums = {"total": int(n.sum()), "distinct": len(n), "once": int((n == 1).sum()), "mass": float(MIDDLE[levels(n)].sum())} if kind == WORDS else {"filled": int(slice_.bits.sum()), "bits": len(slice_.bits), "pairs": len(n)}
         out.append({"block": -1, "bucket": rows[0]["bucket"], "kind": SUMS, **sums})
     return out
 
@@ -212,15 +214,16 @@ def score(docs: DataFrame, trains: Column | None = None) -> DataFrame:
 
     sent = rows.groupBy(block_col).applyInArrow(send, repeats.ROWS)
     answers = common.checkpoint(sent.groupBy("bucket").applyInArrow(answer, ANSWERS))
-    sums = answers.where(F.col("kind") == SUMS).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "distinct", "once", "mass", "filled", "bits")]).first().asDict()
-    shares = Shares(sums["total"], sums["distinct"], sums["once"], float(sums["mass"]), (sums["filled"] / sums["bits"]) ** PROBES if sums["bits"] else 0.0)
+    sums = answers.where(F.col("kind") == SUMS).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "distinct", "once", "mass", "filled", "bits", "pairs")]).first().asDict()
+    # a pair that training hasn't seen is found by the filter's chance, or has the place of one that it has
+    false = ((sums["filled"] / sums["bits"]) ** PROBES if sums["bits"] else 0.0) + sums["pairs"] / buckets / 2.0 ** (8 * WIDTH)
+    shares = Shares(sums["total"], sums["distinct"], sums["once"], float(sums["mass"]), false)
 
     def finish(_, block, answers):
         t = Tokens(block)
         found = sorted(answers.to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
-        joined = lambda kind, c: b"".join(r[c] for r in found if r["kind"] == kind)
-        word, pair = (np.frombuffer(joined(k, "levels"), np.uint8) for k in (WORDS, PAIRS))
-        c = np.concatenate([np.zeros(0, np.int64), *[repeats.unpacked(r["counts"], 8).astype(np.int64) for r in found if r["kind"] == WORDS]])
+        joined = lambda kind, c, width: np.concatenate([np.zeros(0, np.uint64), *[repeats.unpacked(r[c], width) for r in found if r["kind"] == kind]]).astype(np.int64)
+        word, pair, c = joined(WORDS, "levels", 1), joined(PAIRS, "levels", 1), joined(WORDS, "counts", 8)
         starts = np.cumsum(t.sizes) - t.sizes
         total_of = lambda x: np.add.reduceat(x, starts)
         scores = shares.score(word[t.word_of], word[t.before], pair[t.pair_of])

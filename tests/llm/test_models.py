@@ -74,12 +74,12 @@ def test_pair_model_predicts_better_than_the_base(spark):
 
 def test_slices_read_back_levels():
     rng = np.random.default_rng(2)
-    keys = np.unique(rng.integers(0, 1 << 48, 3000, dtype=np.uint64))
+    keys = np.unique(rng.integers(0, 1 << 40, 9000, dtype=np.uint64))
     n = rng.integers(1, 5000, len(keys))
     own = scoring.Slice.fill(keys, n)
     assert (own.level(keys) == scoring.levels(n)).all()
     assert scoring.levels(np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 11, 12, 16])).tolist() == [0, 1, 2, 3, 4, 4, 5, 5, 6, 6, 7, 8]
-    other = rng.integers(0, 1 << 48, 200_000, dtype=np.uint64)
+    other = rng.integers(0, 1 << 40, 200_000, dtype=np.uint64)
     assert (own.level(other[~np.isin(other, keys)]) > 0).sum() == 0 and (own.bits.mean() ** scoring.PROBES) < 1e-8
 
 
@@ -87,9 +87,9 @@ def test_slices_read_back_levels():
 def test_full_and_nearly_full_slices(bits_an_entry):
     """Reading ends at the highest level entered, entries are still found, and scores stay finite shares."""
     rng = np.random.default_rng(3)
-    keys, n = np.unique(rng.integers(0, 1 << 48, 2000, dtype=np.uint64)), 9
+    keys, n = np.unique(rng.integers(0, 1 << 40, 2000, dtype=np.uint64)), 9
     own = scoring.Slice.fill(keys, np.full(len(keys), n), bits_an_entry)
-    level = own.level(np.append(keys, rng.integers(0, 1 << 48, 2000, dtype=np.uint64)))
+    level = own.level(np.append(keys, rng.integers(0, 1 << 40, 2000, dtype=np.uint64)))
     assert (level[: len(keys)] == scoring.levels(np.array([n]))[0]).all() and level.max() == own.top
     false = float(own.bits.mean() ** scoring.PROBES)
     for distinct in (10, 10**6, 10**12):

@@ -214,9 +214,18 @@ def test_blocks_and_buckets_grow_alike():
 
 
 def test_bytes_are_packed_and_unpacked():
-    values = np.random.default_rng(1).integers(0, 1 << 48, 1000, dtype=np.uint64)
-    assert (repeats.unpacked(repeats.packed(values, 6), 6) == values).all() and len(repeats.packed(values, 6)) == 6000
-    assert len(repeats.unpacked(repeats.packed(values[:0], 6), 6)) == 0
+    values = np.random.default_rng(1).integers(0, 1 << 40, 1000, dtype=np.uint64)
+    assert (repeats.unpacked(repeats.packed(values, 5), 5) == values).all()
+    assert len(repeats.unpacked(repeats.packed(values[:0], 5), 5)) == 0
+
+
+def test_places_keep_the_order_in_a_bucket():
+    rng = np.random.default_rng(2)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 63, 20_000, dtype=np.uint64) * np.uint64(2), np.array([0, 1, (1 << 64) - 1, (1 << 63), (1 << 32) - 1], np.uint64)]))
+    for buckets in (1, 3, 46, 1000, 1 << 20):
+        bucket, place = repeats.bucket_of(keys, buckets), repeats.place_in(keys, buckets, 40)
+        assert (np.diff(bucket) >= 0).all() and int(place.max()) < 1 << 40
+        assert (np.diff(place.astype(np.int64))[np.diff(bucket) == 0] >= 0).all()
 
 
 def test_very_long_texts(spark):
