@@ -217,14 +217,16 @@ def one_of_each(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """One row of each group of texts linked by similar sets of five-word shingles, with all its columns: the least by doc_id (nulls first), then by a hash of the text."""
     texts = common.keyed_text(docs)
     made = common.checkpoint(shingles.described(texts))
-    rows = common.checkpoint(made.groupBy("doc_id", "h", "s").agg(F.count("*").alias("n")))
+    # one row a set: copies are summed up where they are read
+    rows = made.groupBy("doc_id", "h", "s").agg(F.count("*").alias("n"))
+    each = common.checkpoint(rows.groupBy("s").agg(F.min(F.struct("doc_id", "h", "n")).alias("k")).select("s", "k.*"))
     values = made.groupBy("s").agg(*[F.first(c).alias(c) for c in ("size", "prefix", "f0", "f1")])
     found = shingles.shared_members(values.select("s", "size", "prefix"))
     shared = common.checkpoint(found.join(values.select("s", "f0", "f1"), "s"))
-    wanted = rows.join(shared.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min(F.struct("doc_id", "h", "n")).alias("k"))
-    sets = common.checkpoint(shingles.sets_of(texts, common.checkpoint(wanted.select("s", "k.*"))))
+    wanted = common.checkpoint(each.join(shared.select("s").distinct(), "s", "left_semi"))
+    sets = common.checkpoint(shingles.sets_of(texts, wanted))
     roots = linked(shared, sets, rounds)
-    grouped = rows.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+    grouped = each.join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
     return least_of_each(docs, grouped)
 
 
