@@ -86,9 +86,8 @@ def numbered_chunks(docs: DataFrame, size: int = 1000, overlap: int = 200, tail:
     and joined to the documents, which are split again. No piece is stored or dealt by its place.
     """
     own = docs.select("doc_id", "content")
-    split_up = own.withColumn("terms", filters.terms_in(F.col("content"), patterns)).select("doc_id", "terms", pieces("content", "document", size, overlap, tail).alias("p"))
-    passes = lambda k: filters.quality_reasons(F.col("p")[k]["content"], patterns, F.col("terms")).isNull()
-    good = split_up.select("doc_id", F.filter(F.when(F.size("p") > 0, F.sequence(F.lit(0), F.size("p") - 1)), passes).alias("good")).where(F.size("good") > 0)
+    every = document_chunks(own.withColumn("terms", filters.terms_in(F.col("content"), patterns)), size, overlap, tail)
+    good = filters.good_chunks(every, patterns=patterns, terms="terms").groupBy("doc_id").agg(F.sort_array(F.collect_list("piece_no")).alias("good"))
     firsts = ordering.first_numbers(storage.checkpoint(good).withColumn("n", F.size("good").cast("long")), "doc_id", "n", "first").drop("n")
     again = own.join(firsts, "doc_id").select("doc_id", "first", "good", pieces("content", "document", size, overlap, tail).alias("p"))
     chosen = again.select("doc_id", "first", F.posexplode(F.transform("good", lambda k: F.col("p")[k])).alias("at", "c"))
