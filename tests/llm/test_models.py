@@ -23,8 +23,8 @@ def brute_level(n):
     return sum(n >= t for t in scoring.THRESHOLDS.tolist()[:40])
 
 
-def brute_scores(rows):
-    """base_score and score of every row from exact counts: what the filter holds, without its false positives."""
+def brute_scores(rows, buckets):
+    """base_score and score of every row from exact counts: what the filter holds, without its false positives; that pairs share a place is allowed for as the model does."""
     words, pairs = Counter(), Counter()
     every = [(r, tokens(r[1])) for r in rows]
     for r, own in every:
@@ -35,6 +35,7 @@ def brute_scores(rows):
     middle = lambda k: (scoring.THRESHOLDS[k - 1] + scoring.THRESHOLDS[k] - 1) / 2
     mass = sum(middle(brute_level(c)) for c in words.values())
     unknown = min(0.5, (sum(c == 1 for c in words.values()) + 1) / (n + 2))
+    chance = v * len(pairs) / buckets / 2**40
     out = []
     for r, own in every:
         score = 0.0
@@ -43,7 +44,7 @@ def brute_scores(rows):
             seen = int(scoring.THRESHOLDS[brute_level(words[h])]) - 1 if words[h] else 0
             pair = int(scoring.THRESHOLDS[brute_level(pairs[h, w]) - 1]) if pairs[h, w] else 0
             share = scoring.PAIR_SHARE * seen / (seen + scoring.PAIR_SEEN)
-            score += math.log10((1 - share) * alone + share * min(pair, seen) / max(seen, 1))
+            score += math.log10((1 - share) * alone + share * min(pair, seen) / max(seen + chance, 1))
         base = sum(math.log10((words[w] + 0.1) / (n + 0.1 * (v + 1))) for w in own)
         out.append((r[0], zlib.crc32(str(r[0]).encode()) % 10 == 0, len(own), sum(words[w] > 0 for w in own), n, base, score))
     return out
@@ -54,7 +55,8 @@ def test_scores_against_brute_force(spark, folder, rows, monkeypatch, block):
     monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
     monkeypatch.setattr(scoring, "BUCKET_BYTES", 2 * block)
     got = sorted(tuple(r) for r in scoring.op5_lm_score(spark, folder).collect())
-    for a, b in zip(got, sorted(brute_scores(rows)), strict=True):
+    buckets = repeats.buckets(sum(len((r[1] or "").encode()) for r in rows), scoring.BUCKET_BYTES)
+    for a, b in zip(got, sorted(brute_scores(rows, buckets)), strict=True):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5]) and a[6] == pytest.approx(b[6], rel=1e-6)
 
 
