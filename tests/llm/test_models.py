@@ -262,6 +262,38 @@ def test_quality_rejects_noise_and_keeps_prose(spark, letters):
     assert sum(kept[k] for k in range(200)) >= 198 and not any(kept[k] for k in range(200, 206))
 
 
+@pytest.mark.parametrize("n_clean", [0, 40])
+def test_quality_learns_markup_where_few_texts_are_clean(spark, n_clean):
+    """A language of tables has models of its tables: noise in their cells is rejected."""
+    rng = random.Random(5)
+    stock = ["".join(rng.choice("aeinrstlm") for _ in range(rng.randrange(2, 9))) for _ in range(100)]
+    table = lambda cell: "\n".join(f"| {' | '.join(cell() for _ in range(4))} |" for _ in range(30))
+    tables = [table(lambda: rng.choice(stock)) for _ in range(200)]
+    noise = [table(lambda: "".join(rng.choice("qxzwkvjy0") for _ in range(5))) for _ in range(6)]
+    prose = [" ".join(rng.choice(stock) for _ in range(120)) + "." for _ in range(n_clean)]
+    assert not any(map(quality.is_clean, tables + noise)) and all(map(quality.is_clean, prose))
+    rows = [(k, t, "tables", "s", len(t)) for k, t in enumerate(tables + noise + prose + [""] * 300)]
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert sum(kept[k] for k in range(200)) >= 198 and not any(kept[k] for k in range(200, 206))
+
+
+@pytest.mark.parametrize("piece", [quality.PIECE, 50])
+def test_all_texts_are_counted(spark, monkeypatch, piece):
+    """4-grams of all texts and of the clean ones against brute force; a language with few clean ones learns from all."""
+    monkeypatch.setattr(quality, "PIECE", piece)
+    texts = ["prose of words " * 8, "more of it " * 9, "#$% signs *** " * 7, ""]
+    rows = [(t, lang, fold) for fold in (0, 1) for lang, own in (("p", (0, 0, 1, 2, 3)), ("q", (0, 2, 2, 3))) for t in (texts[k] for k in own)]
+    want, clean = Counter(), Counter()
+    for t, lang, fold in rows:
+        for code in [*np.concatenate([np.zeros(0, int), *quality.codes(t)]).tolist(), *[quality.TEXTS] * bool(t)]:
+            want["pq".index(lang) * 2 + fold, code] += 1
+            clean["pq".index(lang) * 2 + fold, code] += "$" not in t
+    counts = quality.count_grams(spark.createDataFrame(rows, "text string, lang string, fold int").repartition(3), {"p": 0, "q": 1})
+    assert {(r["slot"], r["code"]): (r["n"], r["n_clean"]) for r in counts.collect()} == {k: (n, clean[k]) for k, n in want.items()}
+    learnt = {(r["slot"], r["code"]): r["n"] for r in quality.learnt(counts).collect()}
+    assert learnt == {k: n for k in want if k[1] != quality.TEXTS and (n := clean[k] if k[0] < 2 else want[k])}
+
+
 def test_quality_without_languages(spark):
     docs = spark.createDataFrame([(k, f"the same {k} words in a text of more than ten words {k}") for k in range(20)], "doc_id long, text string")
     assert quality.judge(docs).where("kept").count() == 20
