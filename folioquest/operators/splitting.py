@@ -12,9 +12,9 @@ and in what they do at the end of a text:
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +22,8 @@ from folioquest.functions import storage
 from folioquest.operators import filters, ordering
 
 PIECES = "array<struct<start:int,end:int,content:string>>"
+#: About how many characters of pieces are held and sent back at once. A text's pieces stay together, so one text can exceed it.
+SENT = 4 << 20
 
 
 def _space_within(back: int) -> Callable[[str, int, int, int], int]:
@@ -58,12 +60,29 @@ def pieces_of(text: str, kind: str, size: int, overlap: int, tail: str) -> list[
     return walk(text, size, overlap, cut, kind != "leaf" and tail == "reference")
 
 
+def _arrays(texts: Iterator[pa.Array], kind: str, size: int, overlap: int, tail: str, sent: int) -> Iterator[pa.Array]:
+    """The pieces of each text, in arrays of about ``sent`` characters: a text's tail can be many times its size, so a whole batch's pieces are never held."""
+    for batch in texts:
+        starts, ends, contents, offsets, held = [], [], [], [0], 0
+        for k, text in enumerate(batch, 1):
+            for a, b, c in pieces_of(text.as_py(), kind, size, overlap, tail) if text.is_valid else ():
+                starts.append(a)
+                ends.append(b)
+                contents.append(c)
+                held += len(c)
+            offsets.append(len(starts))
+            if held >= sent or k == len(batch):
+                rows = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(contents, pa.string())], ["start", "end", "content"])
+                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)
+                starts, ends, contents, offsets, held = [], [], [], [0], 0
+
+
 def pieces(column: str, kind: str, size: int, overlap: int, tail: str = "reference") -> Column:
     """A text's pieces as an array."""
 
-    @F.pandas_udf(PIECES)
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [] if t is None else [{"start": a, "end": b, "content": c} for a, b, c in pieces_of(t, kind, size, overlap, tail)])
+    @F.arrow_udf(PIECES)
+    def cut(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _arrays(texts, kind, size, overlap, tail, SENT)
 
     return cut(column)
 

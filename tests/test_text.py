@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,3 +178,20 @@ def test_numbered_chunks_against_dense_numbers(spark):
     want = sorted((r["chunk_id"], r["doc_id"], r["start_pos"], r["end_pos"], r["piece"]) for r in ordering.dense_ids(good, ["doc_id", "start_pos"], "chunk_id").collect())
     got = sorted(tuple(r) for r in splitting.numbered_chunks(docs).select("chunk_id", "doc_id", "start_pos", "end_pos", "piece").collect())
     assert got == want and len(got) > 20
+
+
+def test_pieces_are_sent_in_bounded_arrays():
+    texts = ["one two three " * n for n in (100, 0, 90, 1, 120)]
+    batch = pa.array([*texts, None])
+    whole = [[{"start": a, "end": b, "content": c} for a, b, c in splitting.pieces_of(t, "document", 1000, 200, "reference")] for t in texts] + [[]]
+    sent = list(splitting._arrays(iter([batch, batch.slice(0, 0), batch]), "document", 1000, 200, "reference", 1000))
+    assert [own for part in sent for own in part.to_pylist()] == whole * 2
+    # the texts of over 1,000 characters end an array each, so none waits for the batch's end
+    assert [len(part) for part in sent] == [1, 2, 2, 1] * 2
+
+
+def test_many_pieces_keep_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(splitting, "SENT", 500)
+    docs = spark.createDataFrame([(k, f"{k} words " * (k * 7 % 300)) for k in range(60)], "doc_id long, content string").coalesce(1)
+    got = sorted(tuple(r) for r in splitting.document_chunks(docs).select("doc_id", "start_pos", "end_pos", "piece").collect())
+    assert got == sorted((k, *p) for k in range(60) for p in splitting.pieces_of(f"{k} words " * (k * 7 % 300), "document", 1000, 200, "reference"))
