@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 
@@ -163,6 +164,35 @@ def test_flat_trees(answer):
     assert not used and root["name"] == "stem" and [c["name"] for c in root["children"]] == ["T1", "T2"]
 
 
+def test_many_leftovers_take_linear_time():
+    """Each was joined to all that its topic had already: 160 GB of copies here."""
+    segments = [{"id": str(k), "title": "t", "content": f"{k:<20000}"} for k in range(4000)]
+    began = time.perf_counter()
+    root, _ = slicing.topic_tree({"topics": [{"topic": "A", "segment_ids": ["0"]}]}, "stem", segments, lambda left, names: [{"segment_id": s["id"], "topic": "A"} for s in left])
+    assert time.perf_counter() - began < 5
+    assert root["children"][0]["content"] == "\n\n".join(s["content"] for s in segments)
+
+
+class Seeing(providers.OfflineChat):
+    """Fails for segments of which more is given than a prompt shows."""
+
+    def complete(self, request):
+        if any(len(s["content"]) > slicing.SHOWN + 1 for s in request.data["segments"]):
+            raise OSError
+        return super().complete(request)
+
+
+def test_contents_of_topics_wait_in_a_file(spark, monkeypatch):
+    monkeypatch.setattr(slicing, "HELD", 100)
+    rows = [(d, "a.md", n, f"seg_{n}", f"{'AB'[n % 2]} title", f"{d} {n} é " * 300) for d in range(3) for n in range(40)]
+    segments = spark.createDataFrame(rows, "doc_id long, source string, seg_no int, seg_id string, title string, content string").repartition(7)
+    got = slicing.topic_nodes(segments, Seeing(), 1).collect()
+    for d in range(3):
+        own = {r["name"]: r for r in got if r["doc_id"] == d}
+        assert {k: r["content"] for k, r in own.items()} == {"a.md": None} | {c: "\n\n".join(r[5] for r in rows if r[0] == d and r[4][0] == c) for c in "AB"}
+        assert all(r["used_topics"] for r in own.values())
+
+
 class Counting(providers.OfflineChat):
     """Writes the kind of each call to a file; fails for texts with ``broken`` in them while that file says so."""
 
