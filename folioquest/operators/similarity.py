@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioquest.functions import text
+from folioquest.operators import ordering
 
 SIDE = 8192
 #: The most vectors that centres are fitted on, the most centres, and the rounds of fitting.
@@ -289,12 +290,11 @@ def keep_new(word_sets: list[frozenset], most: float = 0.7) -> list[bool]:
     return out
 
 
-def dedup_segments(segments: DataFrame, key: str = "doc_id", order: str = "seg_no", column: str = "content") -> DataFrame:
-    """Each document's segments without those that mostly repeat an earlier one. The order within a document decides, so a document is folded as a whole."""
+def new_segments(own: pa.Table, column: str) -> pa.Array:
+    """Which of a document's segments, in order, don't mostly repeat an earlier one."""
+    return pa.array(keep_new([frozenset((t or "").lower().split()) for t in own.column(column).to_pylist()]), pa.bool_())
 
-    def fold(table):
-        table = table.sort_by(order)
-        keep = keep_new([frozenset((t or "").lower().split()) for t in table.column(column).to_pylist()])
-        return table.filter(pa.array(keep, pa.bool_()))
 
-    return segments.groupBy(key).applyInArrow(fold, segments.schema)
+def dedup_segments(segments: DataFrame, key: str = "doc_id", order: str = "seg_no", column: str = "content") -> DataFrame:
+    """Each document's segments without those that mostly repeat an earlier one. The order within a document decides, so a document is folded as a whole."""
+    return ordering.folded(segments, key, [order], lambda own: own.filter(new_segments(own, column)), segments.schema)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from folioquest.functions import fixed, storage, text
 from folioquest.functions.providers import ChatProvider, Request, attempt, parse_json
-from folioquest.operators import similarity, splitting
+from folioquest.operators import ordering, similarity, splitting
 
 MOST_SEGMENTS, LEAST_CHARS = 6, 200
 #: How many characters of a segment a model sees when it finds topics.
@@ -79,14 +79,16 @@ def _sent(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
 def slice_documents(docs: DataFrame, provider: ChatProvider, retries: int = 3, size: int = 12_000, overlap: int = 500, cache: str | None = None) -> DataFrame:
     """doc_id, source, seg_no, seg_id, title, content, content_type. Segments are numbered before near-duplicates go, so numbers have gaps; a document without any is one segment."""
 
+    schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("piece_no", pa.int32()), ("pos", pa.int32()), ("title", pa.string()), ("content", pa.string()), ("failed", pa.bool_())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("piece_no", pa.int32()), ("pos", pa.int32()), ("title", pa.string()), ("content", pa.string()), ("failed", pa.bool_())])
-        for batch in batches:
-            rows = []
-            for doc_id, source, piece_no, piece in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "source", "piece_no", "piece")), strict=True):
-                answer = attempt(provider, Request("slice", SLICE_SYSTEM, piece, {"text": piece}, 0.1, 4096), retries)
-                rows += [{"doc_id": doc_id, "source": source, "piece_no": piece_no, "pos": k, "title": t, "content": c, "failed": answer is None} for k, t, c in accepted_segments(answer, piece)]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        def rows() -> Iterator[dict]:
+            for r in (r for batch in batches for part in _cut(batch) for r in part.to_pylist()):
+                answer = attempt(provider, Request("slice", SLICE_SYSTEM, r["piece"], {"text": r["piece"]}, 0.1, 4096), retries)
+                for k, t, c in accepted_segments(answer, r["piece"]):
+                    yield {"doc_id": r["doc_id"], "source": r["source"], "piece_no": r["piece_no"], "pos": k, "title": t, "content": c.encode(), "failed": answer is None}
+
+        return _sent(rows(), schema)
 
     texts = docs.select("doc_id", "source", "content")
     model = F.lit(f"slice {size} {overlap} {getattr(provider, 'model', type(provider).__name__)}")
@@ -94,14 +96,17 @@ def slice_documents(docs: DataFrame, provider: ChatProvider, retries: int = 3, s
     ask = lambda ids: splitting.slices(texts if ids is None else texts.join(ids, "doc_id", "left_semi"), size, overlap).select("doc_id", "source", "piece_no", "piece").mapInArrow(run, SEGMENTS + ", failed boolean")
     found = storage.remembered(asked, cache, ask).select("doc_id", "source", "piece_no", "pos", "title", "content")
 
-    def number(table):
-        table = table.sort_by([("piece_no", "ascending"), ("pos", "ascending")])
-        return table.append_column("seg_no", pa.array(range(len(table)), pa.int32()))
-
-    numbered = found.groupBy("doc_id").applyInArrow(number, SEGMENTS + ", seg_no int")
-    kept = similarity.dedup_segments(numbered)
-    whole = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "source", F.lit(0).alias("seg_no"), text.stem("source").alias("title"), "content")
-    both = kept.select("doc_id", "source", "seg_no", "title", "content").unionByName(whole)
+    def kept(own: pa.Table) -> pa.Table:
+        n = sum(title is not None for title in own.column("title").to_pylist())
+        if not n:
+            return own.append_column("seg_no", pa.array([0] * len(own), pa.int32()))
+        # documents have no piece and come first
+        own = own.slice(len(own) - n).append_column("seg_no", pa.array(range(n), pa.int32()))
+        return own.filter(similarity.new_segments(own, "content"))
+
+    # documents come along, as what is left if they have no segment, so nothing is cut or folded twice
+    every = found.unionByName(texts.select("doc_id", "source", F.lit(None).cast("int").alias("piece_no"), F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("title"), "content"))
+    both = ordering.folded(every, "doc_id", ["piece_no", "pos"], kept, SEGMENTS + ", seg_no int").withColumn("title", F.coalesce("title", text.stem("source")))
     return both.select("doc_id", "source", "seg_no", F.format_string("seg_%03d", "seg_no").alias("seg_id"), F.when(F.col("title") == "", F.concat(F.lit("Segment "), (F.col("seg_no") + 1).cast("string"))).otherwise(F.col("title")).alias("title"), "content", F.lit("body").alias("content_type"))
 
 

@@ -4,12 +4,13 @@ import json
 import os
 import time
 
+import pyarrow as pa
 import pytest
 
 from folioquest import __main__ as cli
 from folioquest import config as settings
 from folioquest.functions import providers
-from folioquest.operators import generation, slicing
+from folioquest.operators import generation, ordering, similarity, slicing
 from folioquest.plans import pipeline
 from folioquest.sources import files, sinks
 
@@ -173,6 +174,32 @@ def test_many_leftovers_take_linear_time():
     assert root["children"][0]["content"] == "\n\n".join(s["content"] for s in segments)
 
 
+def test_slices_are_asked_and_folded_once_in_a_stream(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+    rows = [(k, TEXT * (5 * (k % 3)) + str(k) * (k % 2), f"d{k}.md") for k in range(60)] + [(60, None, "none.md"), (61, "", ".md")]
+    docs = spark.createDataFrame(rows, "doc_id long, content string, source string").repartition(5)
+    segments = slicing.slice_documents(docs, Counting(calls), 1)
+    assert "FlatMapGroupsInArrow" not in segments._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in segments.collect():
+        got.setdefault(r["doc_id"], []).append((r["seg_no"], r["title"], r["content"]))
+    assert open(calls).read().split() == ["slice"] * 61  # all but the null one
+    for k, content, source in rows:
+        found = slicing.accepted_segments(providers.OfflineChat().complete(providers.Request("slice", "", "", {"text": content})), content) if content else []
+        keep = similarity.keep_new([frozenset(c.lower().split()) for _, _, c in found])
+        want = [(n, t, c) for n, ((_, t, c), new) in enumerate(zip(found, keep, strict=True)) if new]
+        assert sorted(got[k]) == (want or [(0, source[: source.rindex(".")] or source, content)])
+
+
+def test_groups_across_batches():
+    keys = [1, 1, 2, 3, 3, 3, 3, 4, None, None, 5]
+    for cuts in ([3], [4, 5, 6], [1, 1, 2], [0, 11], [2, 8]):
+        at = [0, *cuts, len(keys)]
+        batches = [pa.RecordBatch.from_pydict({"k": pa.array(keys[a:b], pa.int64()), "n": pa.array(range(a, b), pa.int64())}) for a, b in zip(at, at[1:])]
+        found = [t.to_pydict() for t in ordering.groups(iter(batches), "k")]
+        assert [t["k"] for t in found] == [[1, 1], [2], [3] * 4, [4], [None, None], [5]] and sum((t["n"] for t in found), []) == list(range(len(keys)))
+
+
 class Seeing(providers.OfflineChat):
     """Fails for segments of which more is given than a prompt shows."""
 
