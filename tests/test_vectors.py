@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from folioquest.functions.providers import HashingEmbedder
@@ -131,3 +132,18 @@ def test_embedding_keeps_order_and_takes_blanks(spark):
     df = spark.createDataFrame([(0, "one two"), (1, " "), (2, None), (3, "one two")], "id int, t string")
     got = {r["id"]: r["embedding"] for r in embedding.embed(df, "t", HashingEmbedder(16), batch=2).collect()}
     assert got[0] == got[3] == pytest.approx(embedding.embed_query("one two", HashingEmbedder(16))) and got[1] == got[2] == [0.0] * 16
+
+
+def test_sources_are_compared_as_numbers():
+    left, right = (pa.table({"source": pa.chunked_array([pa.array(x, pa.string()) for x in parts])}) for parts in ([["a", None], ["b"]], [["b", "c", None], ["a", "a"]]))
+    mine, theirs = similarity._numbered(left, right)
+    want = [[x == y for y in right.column("source").to_pylist()] for x in left.column("source").to_pylist()]
+    assert mine.dtype.kind == "i" and (mine[:, None] == theirs[None]).tolist() == want
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 4, 7])
+def test_edges_of_the_best(k):
+    scores = np.random.default_rng(k).integers(0, 9, (50, 20)).astype(float)
+    scores[:9] = -np.inf
+    scores[3, 5], scores[20] = 1.0, 4.0
+    assert similarity._edges(scores, k).tolist() == np.sort(scores, axis=1)[:, -k].tolist()
